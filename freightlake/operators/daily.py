@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from freightlake.functions import keyed_uniform
@@ -37,6 +37,8 @@ def expand_trucks(
     Tons and value are shared out evenly. A line is first cut into chunks of
     trucks; with ``spread`` the chunks are shuffled before they are laid out,
     so a line that holds a large part of all trucks does not stay in one task.
+    The number of tasks is given, as adaptive execution would judge the chunks
+    by their bytes, not by the trucks in them, and put them together.
     """
     trucks = F.col(count).cast("bigint")
     shared = (
@@ -53,7 +55,12 @@ def expand_trucks(
     last_chunk = F.floor((F.col("_trucks") - 1) / chunk)
     chunks = shared.withColumn("_chunk", F.explode(F.sequence(F.lit(0), last_chunk)))
     if spread:
-        chunks = chunks.repartition(*keys, "_chunk")
+        spark = annual.sparkSession
+        tasks = max(
+            int(spark.conf.get("spark.sql.shuffle.partitions")),
+            spark.sparkContext.defaultParallelism,
+        )
+        chunks = chunks.repartition(tasks, *keys, "_chunk")
     first = F.col("_chunk") * chunk + 1
     final = F.least(first + (chunk - 1), F.col("_trucks"))
     return chunks.withColumn("truck_seq", F.explode(F.sequence(first, final))).drop(
@@ -61,13 +68,6 @@ def expand_trucks(
     )
 
 
-def travel_day(keys: Sequence[str], seed: int = 0) -> tuple[Column, Column]:
-    """Week and day of a truck: one draw among the 364 days, all alike."""
-    uniform = keyed_uniform(*keys, stage="day", seed=seed)
-    slot = F.floor(uniform * (WEEKS * DAYS)).cast("int")
-    return F.floor(slot / DAYS).cast("int") + 1, slot % DAYS + 1
-
-
 def sample_daily_trucks(
     annual: DataFrame,
     target_week: int = TARGET_WEEK,
@@ -81,20 +81,21 @@ def sample_daily_trucks(
     """Trucks that travel on the target day of the target week.
 
     Trucks are laid out, drawn and filtered in one stage, so those of other
-    days are never stored. ``calendar`` (week, day, share) gives observed
-    shares of the days of a year; without it all 364 are alike.
+    days are never stored. One draw among all days of a year gives both week
+    and day. ``calendar`` (week, day, share) holds observed shares of the days;
+    without it all 364 are alike.
     """
     trucks = expand_trucks(annual, keys, spread=spread)
-    truck_keys = [*keys, "truck_seq"]
+    uniform = keyed_uniform(*keys, "truck_seq", stage="day", seed=seed)
     if calendar is None:
-        week, day = travel_day(truck_keys, seed)
-        dated = trucks.withColumns({"week": week, "day": day})
+        target = (target_week - 1) * DAYS + target_day - 1
+        chosen = trucks.filter(F.floor(uniform * (WEEKS * DAYS)) == target)
     else:
         slots = calendar.select(
-            (F.col("week") * 10 + F.col("day")).cast("int").alias("_slot"), "share"
+            ((F.col("week") - 1) * DAYS + F.col("day") - 1).cast("int").alias("_slot"),
+            "share",
         )
-        uniform = keyed_uniform(*truck_keys, stage="day", seed=seed)
-        picked = weighted_pick(
+        chosen = weighted_pick(
             trucks,
             slots,
             [],
@@ -102,12 +103,10 @@ def sample_daily_trucks(
             "share",
             uniform,
             "_slot",
+            only=(target_week - 1) * DAYS + target_day - 1,
             max_broadcast_rows=max_broadcast_rows,
-        )
-        dated = picked.withColumns(
-            {"week": F.floor(F.col("_slot") / 10).cast("int"), "day": F.col("_slot") % 10}
         ).drop("_slot")
-    return dated.filter((F.col("week") == target_week) & (F.col("day") == target_day))
+    return chosen.withColumns({"week": F.lit(target_week), "day": F.lit(target_day)})
 
 
 def temporal_gaps(trips: DataFrame, distributions: DataFrame) -> DataFrame:

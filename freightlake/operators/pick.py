@@ -16,7 +16,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from freightlake.operators.prefix import running_totals
-from freightlake.operators.sizing import MAX_BROADCAST_ROWS, broadcast_if_small, fits
+from freightlake.operators.sizing import (
+    MAX_BROADCAST_ROWS,
+    bounded,
+    broadcast_if_small,
+)
+from freightlake.sources.tables import stored_once
 
 # Exact sums need a fixed scale; weights are resolved to a millionth of a
 # millionth.
@@ -51,7 +56,7 @@ def candidate_stretches(
     sole = F.when(F.col("_candidates") == 1, F.lit(1).cast(WEIGHT_TYPE))
     effective = sole.otherwise(F.col("_weight")).alias("_weight")
     if small:
-        # The whole table was counted to be small, and so is every group.
+        # The whole table is known to be small, and so is every group.
         pool = Window.partitionBy(*group)
         weights = weights.select(
             "*", F.count(F.lit(1)).over(pool).alias("_candidates")
@@ -113,16 +118,22 @@ def weighted_pick(
     uniform: Column,
     name: str,
     count_name: str | None = None,
+    only: int | str | None = None,
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """Add ``name``: for each row one ``choice`` drawn by weight in its group.
 
     ``group`` columns carry the same names in rows and candidates; with none
     there is a single pool. Rows whose group has no candidate, or no weight on
-    any of several, get NULL. ``count_name`` adds the number of candidates.
+    any of several, get NULL. ``count_name`` adds the number of candidates;
+    ``only`` keeps just the rows for which that choice is drawn.
     """
     group = list(group)
-    small = fits(candidates, max_broadcast_rows)
+    needed = candidates.select(*group, choice, weight)
+    local = bounded(needed, max_broadcast_rows)
+    small = local is not None
+    # More candidates than can be broadcast are read several times below.
+    candidates = local if small else stored_once(needed, "candidates")
     least = 1 if small else MIN_SHUFFLED_BINS
     stretches = candidate_stretches(candidates, group, choice, weight, small)
     stretches = stretches.withColumn(
@@ -155,11 +166,15 @@ def weighted_pick(
     keys = [F.col(f"r.{key}") == F.col(f"c.{key}") for key in [*group, "_bin"]]
     inside = (F.col("_u") >= F.col("_low")) & (F.col("_u") < F.col("_high"))
     right = F.broadcast(binned) if small else binned
+    how = "left"
+    if only is not None:
+        right = right.filter(F.col(name) == F.lit(only))
+        how = "inner"
     kept = [F.col(f"r.{c}") for c in rows.columns if c != name]
     if count_name:
         kept.append(F.col("_candidates").alias(count_name))
     return (
         drawn.alias("r")
-        .join(right.alias("c"), [*keys, inside], "left")
+        .join(right.alias("c"), [*keys, inside], how)
         .select(*kept, F.col(f"c.{name}").alias(name))
     )

@@ -1,25 +1,43 @@
-"""Broadcast only what was counted first."""
+"""Broadcast only what was seen to be small."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Lookup tables here are a few numeric columns wide, so this is some 20 MB.
+# Lookup tables here are a few narrow columns wide, so this is some 20 MB.
 MAX_BROADCAST_ROWS = 200_000
 
 
-def fits(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows; stops counting beyond it."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def bounded(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame | None:
+    """``df`` as a local table, or None if it has more than ``max_rows`` rows.
+
+    A broadcast table passes through the driver in any case. Fetching one row
+    more than allowed proves its size on the way, works its lineage out once
+    instead of once to count and again to use, and stops early otherwise. The
+    table is a single partition, so windows over it need no shuffle.
+    """
+    if max_rows <= 0:
+        return None
+    rows = df.limit(max_rows + 1).toArrow()
+    if rows.num_rows > max_rows:
+        return None
+    return df.sparkSession.createDataFrame(rows, df.schema).coalesce(1)
+
+
+def local_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """The local form of a small table; a larger one as it is."""
+    local = bounded(df, max_rows)
+    return df if local is None else local
 
 
 def broadcast_if_small(
     df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS
 ) -> DataFrame:
-    """Hint a broadcast for a table counted to be small.
+    """Hint a broadcast for a table seen to be small.
 
     A larger table is returned as it is: Spark then shuffles both sides, and
     adaptive execution splits the partitions of a hot key.
     """
-    return F.broadcast(df) if fits(df, max_rows) else df
+    local = bounded(df, max_rows)
+    return df if local is None else F.broadcast(local)

@@ -11,7 +11,11 @@ from freightlake.functions import is_in, keyed_uniform
 from freightlake.operators.checks import require_none
 from freightlake.operators.daily import TRUCK_KEYS
 from freightlake.operators.pick import weighted_pick
-from freightlake.operators.sizing import MAX_BROADCAST_ROWS, broadcast_if_small
+from freightlake.operators.sizing import (
+    MAX_BROADCAST_ROWS,
+    broadcast_if_small,
+    local_if_small,
+)
 
 
 def _all_zones(equivalencies: DataFrame, phantom_zones: DataFrame | None) -> DataFrame:
@@ -151,9 +155,14 @@ def sample_tripends(
             missing_regions(trips, equivalencies, phantom_zones),
             "regions without a zone",
         )
-    candidates = tripend_candidates(
-        zonal_attractions, equivalencies, included_attractions, phantom_zones
+    candidates = local_if_small(
+        tripend_candidates(
+            zonal_attractions, equivalencies, included_attractions, phantom_zones
+        ),
+        max_broadcast_rows,
     )
+    if makeuse_coefficients is not None:
+        makeuse_coefficients = local_if_small(makeuse_coefficients, max_broadcast_rows)
     placed = trips
     for zone, region, kind in (("ozone", "dms_orig", "M"), ("dzone", "dms_dest", "U")):
         pools, uses = _pools(candidates, makeuse_coefficients, kind)

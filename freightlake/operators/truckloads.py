@@ -17,7 +17,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from freightlake.functions import half_even, settled
-from freightlake.operators.sizing import MAX_BROADCAST_ROWS, broadcast_if_small
+from freightlake.operators.sizing import (
+    MAX_BROADCAST_ROWS,
+    broadcast_if_small,
+    local_if_small,
+)
 
 # Vehicle types, body types and the names of trade types.
 VEHICLE_TYPES = ["SU", "TT", "CS", "DBL", "TPT"]
@@ -106,12 +110,14 @@ def distance_band_lookup(
     flows: DataFrame,
     bands: DataFrame,
     distance: str = "wgt_dist",
+    how: str = "left",
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """Add the band whose inclusive range holds the rounded distance.
 
     Bands are laid out over bins of 64 distance units, which turns the range
-    lookup into an equi-join. Flows outside every band get NULLs.
+    lookup into an equi-join. Flows outside every band get NULLs, or are left
+    out with ``how="inner"``.
     """
     ranges = bands.select("minimum_range", "maximum_range").distinct()
     low = F.floor(F.col("minimum_range") / BAND_BIN)
@@ -125,7 +131,7 @@ def distance_band_lookup(
     inside = F.col("_distance").between(F.col("minimum_range"), F.col("maximum_range"))
     return (
         numbered.alias("f")
-        .join(small.alias("b"), (F.col("f._bin") == F.col("b._bin")) & inside, "left")
+        .join(small.alias("b"), (F.col("f._bin") == F.col("b._bin")) & inside, how)
         .select("f.*", "minimum_range", "maximum_range")
         .drop("_distance", "_bin")
     )
@@ -146,7 +152,10 @@ def combined_factors(factors: TruckFactors) -> DataFrame:
     rate, and the first cell, each with its empty factors. A commodity is left
     out of a band that lacks an allocation for one of its vehicle types.
     """
-    empties = unpivot_empty(factors.empty, factors.vehicles)
+    most = factors.max_broadcast_rows
+    allocation = local_if_small(factors.allocation, most)
+    equivalency = local_if_small(factors.equivalency, most)
+    empties = unpivot_empty(local_if_small(factors.empty, most), factors.vehicles)
     by_crossing = empties.groupBy("body_type", "vehicle_type").agg(
         *[
             F.max(
@@ -158,10 +167,10 @@ def combined_factors(factors: TruckFactors) -> DataFrame:
     place = F.array_position(
         F.array(*[F.lit(body) for body in factors.bodies]), F.col("body_type")
     )
-    positive = unpivot_equivalency(factors.equivalency, factors.bodies)
+    positive = unpivot_equivalency(equivalency, factors.bodies)
     needed = positive.groupBy("sctg2").agg(F.count(F.lit(1)).alias("_needed"))
     cells = (
-        positive.join(normalise_allocation_bands(factors.allocation), "vehicle_type")
+        positive.join(normalise_allocation_bands(allocation), "vehicle_type")
         .join(by_crossing, ["body_type", "vehicle_type"], "left")
         .withColumn("rate", F.col("alloc_factor") * F.col("equiv_factor"))
         .withColumn("place", place)
@@ -201,17 +210,16 @@ def crossing_type(factors: TruckFactors, trade_type: str = "trade_type") -> Colu
     return found
 
 
-def match_factors(flows: DataFrame, factors: TruckFactors) -> DataFrame:
+def match_factors(
+    flows: DataFrame, factors: TruckFactors, how: str = "left"
+) -> DataFrame:
     """Flows with their band and combined factors, NULL where none apply."""
-    combined = combined_factors(factors)
+    most = factors.max_broadcast_rows
+    combined = broadcast_if_small(combined_factors(factors), most)
     banded = distance_band_lookup(
-        flows, factors.allocation, max_broadcast_rows=factors.max_broadcast_rows
-    )
-    return banded.join(
-        broadcast_if_small(combined, factors.max_broadcast_rows),
-        ["minimum_range", "maximum_range", "sctg2"],
-        "left",
+        flows, factors.allocation, how=how, max_broadcast_rows=most
     )
+    return banded.join(combined, ["minimum_range", "maximum_range", "sctg2"], how)
 
 
 def _reject_reason() -> Column:
@@ -239,9 +247,8 @@ def trucks_by_vehicle(
       of the rescue vehicle.
     """
     vehicles = factors.vehicles
-    matched = match_factors(truck_mode_filter(flows), factors).filter(
-        _reject_reason().isNull()
-    )
+    weighed = truck_mode_filter(flows).filter(F.col("exp_tons").isNotNull())
+    matched = match_factors(weighed, factors, how="inner")
     tons = F.col("exp_tons") * F.lit(load_consolidation_factor)
     sized = matched.withColumns(
         {"_tons": tons, "zed": settled(tons * F.col("_rate"))}

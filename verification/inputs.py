@@ -9,6 +9,7 @@ from __future__ import annotations
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from freightlake.operators.daily import expand_trucks
 from freightlake.operators.flows import prepare_flows
@@ -44,8 +45,15 @@ def parameters(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame
     return spark.createDataFrame(arrow)
 
 
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A driver table; its schema is read from the files only once."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def raw_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -376,13 +384,13 @@ def districts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def annual_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items taken as annual truckloads, up to 50 trucks each."""
+    """Line items taken as annual truckloads; the first of an order has none."""
     item = table(spark, sf_dir, "lineitem")
     return item.select(
         flow_id().alias("flow_id"),
         vehicle_of(F.col("l_linenumber")).alias("vehicle_type"),
         F.when(F.col("l_returnflag") == "N", "Loaded").otherwise("Empty").alias("status"),
-        (F.col("l_quantity") - 1).alias("annual_trucks"),
+        (F.col("l_linenumber") - 1).cast("double").alias("annual_trucks"),
         (F.col("l_quantity") * 20).alias("tons"),
         F.col("l_extendedprice").alias("value"),
     )
