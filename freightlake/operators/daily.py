@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from freightlake.functions import keyed_uniform
 from freightlake.operators.checks import require_none
+from freightlake.operators.expand import CHUNK, lay_out
 from freightlake.operators.pick import weighted_pick
 from freightlake.operators.sizing import MAX_BROADCAST_ROWS
 
@@ -21,51 +22,23 @@ TARGET_DAY = 4
 LINE_KEYS = ["flow_id", "vehicle_type", "status"]
 TRUCK_KEYS = [*LINE_KEYS, "truck_seq"]
 
-# Trucks laid out from one row at a time, and by one task for one row.
-CHUNK_TRUCKS = 4096
-
 
 def expand_trucks(
     annual: DataFrame,
     keys: Sequence[str] = tuple(LINE_KEYS),
     count: str = "annual_trucks",
-    chunk: int = CHUNK_TRUCKS,
+    chunk: int = CHUNK,
     spread: bool = True,
 ) -> DataFrame:
     """One row per truck, numbered ``truck_seq`` from 1 within its line.
 
-    Tons and value are shared out evenly. A line is first cut into chunks of
-    trucks; with ``spread`` the chunks are shuffled before they are laid out,
-    so a line that holds a large part of all trucks does not stay in one task.
-    The number of tasks is given, as adaptive execution would judge the chunks
-    by their bytes, not by the trucks in them, and put them together.
+    Tons and value are shared out evenly; see ``lay_out`` for large lines.
     """
-    trucks = F.col(count).cast("bigint")
-    shared = (
-        annual.filter(trucks > 0)
-        .withColumns(
-            {
-                "tons": F.col("tons") / F.col(count),
-                "value": F.col("value") / F.col(count),
-                "_trucks": trucks,
-            }
-        )
-        .drop(count)
-    )
-    last_chunk = F.floor((F.col("_trucks") - 1) / chunk)
-    chunks = shared.withColumn("_chunk", F.explode(F.sequence(F.lit(0), last_chunk)))
-    if spread:
-        spark = annual.sparkSession
-        tasks = max(
-            int(spark.conf.get("spark.sql.shuffle.partitions")),
-            spark.sparkContext.defaultParallelism,
-        )
-        chunks = chunks.repartition(tasks, *keys, "_chunk")
-    first = F.col("_chunk") * chunk + 1
-    final = F.least(first + (chunk - 1), F.col("_trucks"))
-    return chunks.withColumn("truck_seq", F.explode(F.sequence(first, final))).drop(
-        "_chunk", "_trucks"
+    trucks = F.col(count)
+    shared = annual.filter(trucks.cast("bigint") > 0).withColumns(
+        {"tons": F.col("tons") / trucks, "value": F.col("value") / trucks}
     )
+    return lay_out(shared, trucks, "truck_seq", keys, chunk, spread).drop(count)
 
 
 def sample_daily_trucks(

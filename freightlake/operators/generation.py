@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from freightlake.functions import half_even, is_in
 from freightlake.operators.checks import require_none
+from freightlake.operators.expand import lay_out
 from freightlake.operators.prefix import bucket_round
 from freightlake.operators.profile import percent
 from freightlake.operators.sizing import MAX_BROADCAST_ROWS, broadcast_if_small
@@ -130,12 +131,14 @@ def generate_trips(
     urban_counties: Collection[str] = tuple(URBAN_COUNTIES),
     expand: bool = True,
     order: str = "pfirmID",
+    spread: bool = True,
     strict: bool = False,
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """Local truck trips by firm, one row per trip numbered ``trip_number``.
 
-    With ``expand=False`` there is one row per firm and vehicle type that makes
+    Firms are shuffled before their trips are laid out unless ``spread`` is
+    off. With ``expand=False`` there is one row per firm and vehicle type that makes
     any trip, and ``trip_number`` is NULL.
     """
     if strict:
@@ -145,7 +148,9 @@ def generate_trips(
     )
     number = F.lit(None).cast("int")
     if expand:
-        number = F.explode(F.sequence(F.lit(1), F.col("trucks").cast("int")))
+        keys = [order, "vehicle_type"]
+        whole = lay_out(whole, F.col("trucks"), "trip_number", keys, spread=spread)
+        number = F.col("trip_number").cast("int")
     return whole.select(
         "pfirmID",
         number.alias("trip_number"),

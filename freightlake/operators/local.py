@@ -10,7 +10,11 @@ from pyspark.sql import functions as F
 from freightlake.functions import half_even, keyed_uniform
 from freightlake.operators.checks import require_none
 from freightlake.operators.pick import weighted_pick
-from freightlake.operators.sizing import MAX_BROADCAST_ROWS, broadcast_if_small
+from freightlake.operators.sizing import (
+    MAX_BROADCAST_ROWS,
+    broadcast_if_small,
+    local_if_small,
+)
 from freightlake.operators.truckloads import VEHICLE_TYPES
 
 TRIP_KEYS = ["pfirmID", "vehicle_type", "trip_number"]
@@ -68,12 +72,15 @@ def banded_skims(
     )
 
 
-def append_skim_distance(trips: DataFrame, skims: DataFrame) -> DataFrame:
+def append_skim_distance(
+    trips: DataFrame, skims: DataFrame, max_broadcast_rows: int = MAX_BROADCAST_ROWS
+) -> DataFrame:
     """Add the distance between a trip's zones as ``wgt_dist``."""
     distances = skims.select(
         "origin", "destination", F.col("value").alias("wgt_dist")
     )
-    return trips.join(distances, ["origin", "destination"], "left")
+    narrow = broadcast_if_small(distances, max_broadcast_rows)
+    return trips.join(narrow, ["origin", "destination"], "left")
 
 
 def sample_local_destinations(
@@ -96,6 +103,9 @@ def sample_local_destinations(
     """
     if strict:
         require_none(skimless_origins(trips, skims), "origins without skims")
+    skims = local_if_small(
+        skims.select("origin", "destination", "value"), max_broadcast_rows
+    )
     reach = banded_skims(
         skims, targets, vehicles, max_distance, allow_intrazonals, max_broadcast_rows
     ).select("origin", "vehicle_type", "destination", "share")
@@ -118,7 +128,7 @@ def sample_local_destinations(
     ).drop("_within_reach")
     if strict:
         require_none(undrawn_destinations(placed).select(*keys), "no destination for")
-    return append_skim_distance(placed, skims)
+    return append_skim_distance(placed, skims, max_broadcast_rows)
 
 
 def undrawn_destinations(placed: DataFrame) -> DataFrame:

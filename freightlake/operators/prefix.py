@@ -1,10 +1,12 @@
 """Exact running totals over a whole table, with no task seeing all of it.
 
 A window without a partition sorts the table in one task. Here the ordering
-ids are cut into blocks of 65,536 consecutive values, the blocks into blocks of
-blocks, and so on. Totals go up that ladder by ordinary aggregation, offsets
-come down it by equi-joins, and every window sees one block only, whatever the
-ids look like. Three steps cover all 64-bit ids.
+ids are cut into blocks of 4,096 consecutive values, 65,536 of those make a
+larger block, and so on. Totals go up that ladder by ordinary aggregation,
+offsets come down it by equi-joins, and every window sees one block only,
+whatever the ids look like. Only as many steps are taken as the range of the ids
+calls for; three leave a million blocks at most, even where ids are scattered
+over all of 64 bits.
 """
 
 from __future__ import annotations
@@ -16,11 +18,28 @@ from pyspark.sql import functions as F
 
 from freightlake.operators.checks import ModelInputError
 
-BLOCK_BITS = 16
-LEVELS = 3
+# Low bits of the id that are inside a block, at each step of the ladder.
+BLOCK_BITS = (12, 28, 44)
+
+# Blocks that one last window may put in order.
+TOP_BLOCKS = 65_536
 _INTEGRAL = {"tinyint", "smallint", "int", "bigint"}
 
 
+def _steps(df: DataFrame, order: str, block_bits: Sequence[int]) -> list[int]:
+    """The steps needed for the range of the ids, from one look at its ends."""
+    wide = "decimal(20,0)"
+    lowest, highest = df.agg(
+        F.min(order).cast(wide).alias("low"), F.max(order).cast(wide).alias("high")
+    ).first()
+    span = 0 if lowest is None else int(highest - lowest)
+    return [
+        bits
+        for less, bits in zip([None, *block_bits], block_bits)
+        if less is None or span >> less > TOP_BLOCKS
+    ]
+
+
 def running_totals(
     df: DataFrame,
     values: Sequence[str],
@@ -28,7 +47,7 @@ def running_totals(
     by: Sequence[str] = (),
     prefix: str = "through_",
     last: str | None = None,
-    block_bits: int = BLOCK_BITS,
+    block_bits: Sequence[int] = BLOCK_BITS,
 ) -> DataFrame:
     """Add the running total of each of ``values`` up to and with each row.
 
@@ -44,8 +63,13 @@ def running_totals(
     def block(level: int) -> str:
         return f"_block{level}"
 
+    steps = _steps(df, order, block_bits)
+    widths = [bits - less for less, bits in zip([0, *steps], steps)]
+    levels = len(widths)
+
     def up(lower: str, level: int):
-        return F.shiftright(F.col(lower).cast("bigint"), block_bits).alias(block(level))
+        wider = F.shiftright(F.col(lower).cast("bigint"), widths[level - 1])
+        return wider.alias(block(level))
 
     rows = df.select("*", up(order, 1))
     ladder = [
@@ -53,7 +77,7 @@ def running_totals(
             *[F.sum(v).alias(v) for v in values], F.max(order).alias("_last")
         )
     ]
-    for level in range(2, LEVELS + 1):
+    for level in range(2, levels + 1):
         below = ladder[-1].select("*", up(block(level - 1), level))
         ladder[-1] = below
         ladder.append(
@@ -63,16 +87,16 @@ def running_totals(
         )
 
     whole = Window.partitionBy(*by)
-    top = whole.orderBy(block(LEVELS)).rowsBetween(
+    top = whole.orderBy(block(levels)).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
     offsets = ladder[-1].select(
         *by,
-        block(LEVELS),
+        block(levels),
         F.max("_last").over(whole).alias("_last"),
         *[(F.sum(v).over(top) - F.col(v)).alias(f"_before_{v}") for v in values],
     )
-    for level in range(LEVELS - 1, 0, -1):
+    for level in range(levels - 1, 0, -1):
         outer = [*by, block(level + 1)]
         inner = (
             Window.partitionBy(*outer)

@@ -89,16 +89,17 @@ def _profile_kind(df: DataFrame, names: list[str], kind: str, threshold: int):
         _as_text(F.max("value"), kind).alias("_highest"),
     )
     # Only columns under the threshold have their values listed, so no list
-    # holds more than `threshold` entries. One row per column: broadcast.
+    # holds more than `threshold` entries. One row per column: broadcast. Every
+    # column of `values` is used again, so its shuffle is made only once.
     few = F.broadcast(summary.filter(F.col("Unique") < threshold).select("Variable"))
+    value = F.when(F.col("n") > 0, F.col("value"))
     listed = (
-        values.filter(F.col("value").isNotNull())
-        .join(few, "Variable", "left_semi")
+        values.join(few, "Variable")
         .groupBy("Variable")
         .agg(
             F.array_join(
                 F.transform(
-                    F.array_sort(F.collect_list("value")), lambda v: _as_text(v, kind)
+                    F.array_sort(F.collect_list(value)), lambda v: _as_text(v, kind)
                 ),
                 ", ",
             ).alias("_listed")

@@ -95,12 +95,11 @@ def _by_region_and_zone(attractors: DataFrame, *keys: str) -> DataFrame:
 
 def _pools(
     candidates: DataFrame, coefficients: DataFrame | None, kind: str
-) -> tuple[DataFrame, DataFrame | None]:
-    """Candidates of every pool, and which commodity uses which pool.
+) -> DataFrame:
+    """Candidates of every pool.
 
     ``base`` holds plain attractions, ``equal`` the same zones all alike, and
-    a pool per commodity its scaled attractions. A commodity with coefficients
-    uses its own pool where that has any weight in the region, else ``equal``.
+    a pool per commodity, named by its code, the scaled attractions.
     """
     in_region = candidates.filter(F.col("faf_region").isNotNull())
     base = _by_region_and_zone(collapse_attractors(in_region))
@@ -113,7 +112,7 @@ def _pools(
         F.when(F.col("_total") == 0, listed).otherwise(F.col("weight")).alias("weight"),
     )
     if coefficients is None:
-        return plain, None
+        return plain
     equal = base.select(
         F.lit("equal").alias("pool"), "faf_region", "STDM_TAZ", listed.alias("weight")
     )
@@ -124,11 +123,7 @@ def _pools(
     own = scaled.select(
         F.col("sctg2").cast("string").alias("pool"), "faf_region", "STDM_TAZ", "weight"
     )
-    pools = plain.unionByName(equal).unionByName(own)
-    with_rows = coefficients.filter(F.col("MorU") == kind).select("sctg2").distinct()
-    use = scaled.select("sctg2", "faf_region").distinct().withColumn("_own", F.lit(True))
-    uses = with_rows.join(use, "sctg2", "left")
-    return pools, uses
+    return plain.unionByName(equal).unionByName(own)
 
 
 def sample_tripends(
@@ -165,13 +160,13 @@ def sample_tripends(
         makeuse_coefficients = local_if_small(makeuse_coefficients, max_broadcast_rows)
     placed = trips
     for zone, region, kind in (("ozone", "dms_orig", "M"), ("dzone", "dms_dest", "U")):
-        pools, uses = _pools(candidates, makeuse_coefficients, kind)
-        pools = pools.withColumnRenamed("faf_region", region)
+        pools = local_if_small(
+            _pools(candidates, makeuse_coefficients, kind), max_broadcast_rows
+        ).withColumnRenamed("faf_region", region)
         group = [region]
-        if uses is None:
-            pools = pools.drop("pool")
-        else:
-            placed = _with_pool(placed, uses, region, max_broadcast_rows)
+        if makeuse_coefficients is not None:
+            rows = makeuse_coefficients.filter(F.col("MorU") == kind)
+            placed = _with_pool(placed, pools, rows, region, max_broadcast_rows)
             group = ["pool", region]
         placed = weighted_pick(
             placed,
@@ -189,11 +184,20 @@ def sample_tripends(
 
 
 def _with_pool(
-    trips: DataFrame, uses: DataFrame, region: str, max_broadcast_rows: int
+    trips: DataFrame,
+    pools: DataFrame,
+    coefficients: DataFrame,
+    region: str,
+    max_broadcast_rows: int,
 ) -> DataFrame:
-    scaled = uses.select("sctg2").distinct().withColumn("_scaled", F.lit(True))
-    own = uses.filter("_own").select(
-        "sctg2", F.col("faf_region").alias(region), "_own"
+    """Add the pool of each trip: the commodity's own where it has any weight
+    in the region, ``equal`` where its coefficients leave none, else ``base``."""
+    scaled = coefficients.select("sctg2").distinct().withColumn("_scaled", F.lit(True))
+    own = (
+        pools.filter(~F.col("pool").isin("base", "equal"))
+        .select(F.col("pool").cast("int").alias("sctg2"), region)
+        .distinct()
+        .withColumn("_own", F.lit(True))
     )
     return (
         trips.join(broadcast_if_small(scaled, max_broadcast_rows), "sctg2", "left")

@@ -2,9 +2,10 @@
 
 Truck counts are linear in tons until they are rounded. So the factor tables,
 which know nothing of single flows, are first combined into one small table
-with a row per distance band and commodity and a column per vehicle type. Each
-flow then finds its row by two broadcast lookups and works out all its trucks
-in plain columns: no shuffle and no lambda, all in generated code.
+with a row per distance band and commodity that holds the rates of all vehicle
+types. Each flow finds its row by two broadcast lookups, works out its total in
+plain columns, and is then laid out by vehicle type: no shuffle and no lambda,
+all in generated code, and little enough of it for the JVM to compile.
 """
 
 from __future__ import annotations
@@ -137,12 +138,8 @@ def distance_band_lookup(
     )
 
 
-def _loaded_rate(vehicle: str) -> str:
-    return f"_loaded_{vehicle}"
-
-
-def _empty_rate(crossing: str, vehicle: str) -> str:
-    return f"_empty_{crossing}_{vehicle}"
+def _rate_of(vehicle: str) -> str:
+    return f"_rate_{vehicle}"
 
 
 def combined_factors(factors: TruckFactors) -> DataFrame:
@@ -176,23 +173,36 @@ def combined_factors(factors: TruckFactors) -> DataFrame:
         .withColumn("place", place)
     )
     facts = ["vehicle_type", "place", *factors.crossings]
-    of_vehicle = {v: F.col("vehicle_type") == v for v in factors.vehicles}
-    combined = cells.groupBy("minimum_range", "maximum_range", "sctg2").agg(
-        F.count(F.lit(1)).alias("_found"),
-        F.sum("rate").alias("_rate"),
-        F.min(F.struct((-F.col("rate")).alias("low"), *facts)).alias("_largest"),
-        F.min(F.struct(*facts)).alias("_first"),
-        *[
-            F.sum(F.when(test, F.col("rate"))).alias(_loaded_rate(v))
-            for v, test in of_vehicle.items()
-        ],
+    empty_rates = [
+        F.sum(F.col("rate") * F.col(crossing)).alias(crossing)
+        for crossing in factors.crossings
+    ]
+    per_cell = [
+        F.count(F.lit(1)).alias("found"),
+        F.sum("rate").alias("loaded"),
+        F.min(F.struct((-F.col("rate")).alias("low"), *facts)).alias("largest"),
+        F.min(F.struct(*facts)).alias("first"),
+    ]
+    key = ["minimum_range", "maximum_range", "sctg2"]
+    by_vehicle = cells.groupBy(*key, "vehicle_type").agg(*per_cell, *empty_rates)
+    entry = F.struct(
+        "vehicle_type", "loaded", F.struct(*factors.crossings).alias("empty")
+    )
+    combined = by_vehicle.groupBy(*key).agg(
+        F.sum("found").alias("_found"),
+        F.sum("loaded").alias("_rate"),
+        F.min("largest").alias("_largest"),
+        F.min("first").alias("_first"),
+        F.array_sort(F.collect_list(entry)).alias("_rates"),
         *[
-            F.sum(F.when(test, F.col("rate") * F.col(crossing))).alias(
-                _empty_rate(crossing, v)
-            )
-            for crossing in factors.crossings
-            for v, test in of_vehicle.items()
+            F.coalesce(
+                F.sum(F.when(F.col("vehicle_type") == v, F.col("loaded"))), F.lit(0.0)
+            ).alias(_rate_of(v))
+            for v in factors.vehicles
         ],
+        F.coalesce(
+            F.bool_or(F.col("vehicle_type") == factors.rescue_vehicle), F.lit(False)
+        ).alias("_can_rescue"),
     )
     return (
         combined.join(needed, "sctg2")
@@ -235,91 +245,97 @@ def _total(columns: list[Column]) -> Column:
     return reduce(lambda a, b: a + b, columns)
 
 
-def trucks_by_vehicle(
+def _whole(column: Column) -> Column:
+    return half_even(settled(column))
+
+
+def sized_flows(
     flows: DataFrame, factors: TruckFactors, load_consolidation_factor: float = 1.0
 ) -> DataFrame:
-    """Truck flows with factors, plus for each vehicle type the number of
-    trucks before (``_rounded_``) and after (``_trucks_``) the two rules for
-    small flows, and of empty trucks (``_empties_``).
+    """Truck flows with their rates, the number of trucks ``zed`` before any
+    rounding, and which of the two rules for small flows applies:
 
-    * less than one truck in all: one truck, of the kind with most of it;
-    * every vehicle type rounds to none, but more than one truck in all: one
-      of the rescue vehicle.
+    * ``_below_one``: less than one truck in all becomes one truck, of the
+      kind with most of it (``_single``);
+    * ``_rescued``: every vehicle type rounds to none, but there is more than
+      one truck in all, which becomes one of the rescue vehicle.
     """
-    vehicles = factors.vehicles
     weighed = truck_mode_filter(flows).filter(F.col("exp_tons").isNotNull())
     matched = match_factors(weighed, factors, how="inner")
-    tons = F.col("exp_tons") * F.lit(load_consolidation_factor)
-    sized = matched.withColumns(
-        {"_tons": tons, "zed": settled(tons * F.col("_rate"))}
+    # Never NULL here, but only a default tells Spark so, and spares the null
+    # checks of all that follows.
+    tons = F.coalesce(
+        F.col("exp_tons") * F.lit(load_consolidation_factor), F.lit(0.0)
+    )
+    sized = matched.withColumn("_tons", tons).withColumns(
+        {
+            "zed": settled(F.col("_tons") * F.col("_rate")),
+            "_rounded": _total(
+                [_whole(F.col("_tons") * F.col(_rate_of(v))) for v in factors.vehicles]
+            ),
+        }
     )
     # With no tons at all every cell is equal, and the first one is taken.
     no_tons = F.col("_tons") == 0
-    crossing = crossing_type(factors)
 
     def single(name: str) -> Column:
         return F.when(no_tons, F.col(f"_first.{name}")).otherwise(
             F.col(f"_largest.{name}")
         )
 
-    def by_crossing(pick) -> Column:
-        chosen = F.when(F.lit(False), F.lit(None).cast("double"))
-        for name in factors.crossings:
-            chosen = chosen.when(F.col("_crossing") == name, pick(name))
-        return chosen
-
-    def whole(column: Column) -> Column:
-        return half_even(settled(column))
-
-    rates = sized.withColumns(
+    return sized.withColumns(
         {
-            "_crossing": crossing,
+            "_crossing": crossing_type(factors),
             "_below_one": F.col("zed") < 1,
+            "_rescued": (F.col("zed") > 1)
+            & (F.col("_rounded") == 0)
+            & F.col("_can_rescue"),
             "_single": single("vehicle_type"),
-            **{
-                f"_rounded_{v}": F.coalesce(
-                    whole(F.col("_tons") * F.col(_loaded_rate(v))), F.lit(0.0)
-                )
-                for v in vehicles
-            },
+            "_single_empty": F.struct(*[single(c).alias(c) for c in factors.crossings]),
         }
     )
-    none_left = _total([F.col(f"_rounded_{v}") for v in vehicles]) == 0
-    rescued = rates.withColumns(
-        {
-            "_single_empty": by_crossing(single),
-            "_rescued": ~F.col("_below_one")
-            & none_left
-            & (F.col("zed") > 1)
-            & F.col(_loaded_rate(factors.rescue_vehicle)).isNotNull(),
-        }
+
+
+def trucks_by_vehicle(
+    flows: DataFrame, factors: TruckFactors, load_consolidation_factor: float = 1.0
+) -> DataFrame:
+    """One row per flow and vehicle type with plainly rounded loaded trucks
+    (``_plain``), loaded trucks after the rules (``_loaded``), all loaded trucks
+    of the flow (``_all_loaded``) and empty trucks (``_empty``)."""
+    sized = sized_flows(flows, factors, load_consolidation_factor)
+    laid_out = sized.select(
+        *flows.columns,
+        "zed",
+        *["_tons", "_crossing", "_below_one", "_rescued", "_rounded"],
+        *["_single", "_single_empty"],
+        F.inline("_rates"),
     )
 
-    def trucks(v: str) -> Column:
-        rounded = F.col(f"_rounded_{v}")
-        if v == factors.rescue_vehicle:
-            rounded = F.when(F.col("_rescued"), F.lit(1.0)).otherwise(rounded)
-        alone = F.when(F.col("_single") == v, F.lit(1.0)).otherwise(F.lit(0.0))
-        return F.when(F.col("_below_one"), alone).otherwise(rounded)
-
-    def empties(v: str) -> Column:
-        alone = F.when(F.col("_single") == v, whole(F.col("_single_empty")))
-        many = whole(
-            F.col("_tons") * by_crossing(lambda name: F.col(_empty_rate(name, v)))
-        )
-        return F.coalesce(
-            F.when(F.col("_below_one"), alone).otherwise(many), F.lit(0.0)
-        )
+    def by_crossing(rates: str) -> Column:
+        chosen = F.when(F.lit(False), F.lit(None).cast("double"))
+        for name in factors.crossings:
+            chosen = chosen.when(F.col("_crossing") == name, F.col(f"{rates}.{name}"))
+        return chosen
 
-    counted = rescued.withColumns(
+    is_single = F.col("_single") == F.col("vehicle_type")
+    is_rescue = F.col("vehicle_type") == F.lit(factors.rescue_vehicle)
+    plain = laid_out.withColumn("_plain", _whole(F.col("_tons") * F.col("loaded")))
+    loaded = (
+        F.when(F.col("_below_one"), is_single.cast("double"))
+        .when(F.col("_rescued") & is_rescue, F.lit(1.0))
+        .otherwise(F.col("_plain"))
+    )
+    all_loaded = F.when(F.col("_below_one") | F.col("_rescued"), F.lit(1.0))
+    exact_empty = F.when(
+        F.col("_below_one"), F.when(is_single, by_crossing("_single_empty"))
+    ).otherwise(F.col("_tons") * by_crossing("empty"))
+    return plain.withColumns(
         {
-            **{f"_trucks_{v}": trucks(v) for v in vehicles},
-            **{f"_empties_{v}": empties(v) for v in vehicles},
+            "_loaded": loaded,
+            "_all_loaded": all_loaded.otherwise(F.col("_rounded")),
+            "_empty": F.coalesce(_whole(exact_empty), F.lit(0.0)),
         }
     )
-    return counted.withColumn(
-        "_all_trucks", _total([F.col(f"_trucks_{v}") for v in vehicles])
-    )
 
 
 def annual_truckloads(
@@ -331,26 +347,25 @@ def annual_truckloads(
     carry none. ``zed`` is the number of trucks before any rounding. Flows for
     which no count can be made are in ``rejected_flows``.
     """
-    wide = trucks_by_vehicle(flows, factors, load_consolidation_factor)
+    by_vehicle = trucks_by_vehicle(flows, factors, load_consolidation_factor)
     kept = [c for c in flows.columns if c not in ("exp_tons", "exp_value")]
+    share = F.try_divide("_loaded", "_all_loaded")
+    none = F.lit(0.0)
 
-    def line(v: str, status: str) -> Column:
-        loaded = status == "Loaded"
-        trucks = F.col(f"_trucks_{v}" if loaded else f"_empties_{v}")
-        share = F.try_divide(trucks, F.col("_all_trucks"))
+    def line(status: str, trucks: str, tons: Column, value: Column) -> Column:
         return F.struct(
-            F.lit(v).alias("vehicle_type"),
-            trucks.alias("annual_trucks"),
+            F.col(trucks).alias("annual_trucks"),
             F.lit(status).alias("status"),
-            (share * F.col("exp_tons") if loaded else F.lit(0.0)).alias("tons"),
-            (share * F.col("exp_value") if loaded else F.lit(0.0)).alias("value"),
+            tons.alias("tons"),
+            value.alias("value"),
         )
 
-    lines = [
-        line(v, status) for status in ("Loaded", "Empty") for v in factors.vehicles
-    ]
+    lines = F.array(
+        line("Loaded", "_loaded", share * F.col("exp_tons"), share * F.col("exp_value")),
+        line("Empty", "_empty", none, none),
+    )
     return (
-        wide.select(*kept, "zed", F.inline(F.array(*lines)))
+        by_vehicle.select(*kept, "vehicle_type", "zed", F.inline(lines))
         .filter(F.col("annual_trucks") > 0)
         .select(
             *kept, "vehicle_type", "annual_trucks", "status", "tons", "value", "zed"
@@ -372,19 +387,8 @@ def loaded_trucks(
     flows: DataFrame, factors: TruckFactors, load_consolidation_factor: float = 1.0
 ) -> DataFrame:
     """Plainly rounded loaded trucks per flow and vehicle type, zeros included."""
-    wide = trucks_by_vehicle(flows, factors, load_consolidation_factor)
-    lines = [
-        F.struct(
-            F.lit(v).alias("vehicle_type"),
-            F.col(f"_rounded_{v}").alias("annual_trucks"),
-            F.col(_loaded_rate(v)).isNotNull().alias("_used"),
-        )
-        for v in factors.vehicles
-    ]
-    return (
-        wide.select(*flows.columns, "zed", F.inline(F.array(*lines)))
-        .filter("_used")
-        .drop("_used")
+    return trucks_by_vehicle(flows, factors, load_consolidation_factor).select(
+        *flows.columns, "zed", "vehicle_type", F.col("_plain").alias("annual_trucks")
     )
 
 
@@ -393,7 +397,7 @@ def min_one_truck(
 ) -> DataFrame:
     """Flows worth less than one truck and the vehicle type of their one truck."""
     return (
-        trucks_by_vehicle(flows, factors, load_consolidation_factor)
+        sized_flows(flows, factors, load_consolidation_factor)
         .filter("_below_one")
         .select(
             *flows.columns,
@@ -409,7 +413,7 @@ def rounding_rescue(
 ) -> DataFrame:
     """Flows worth more than one truck whose vehicle types all round to none."""
     return (
-        trucks_by_vehicle(flows, factors, load_consolidation_factor)
+        sized_flows(flows, factors, load_consolidation_factor)
         .filter("_rescued")
         .select(
             *flows.columns,

@@ -29,10 +29,12 @@ def frame(spark, groups):
     return spark.createDataFrame(rows, "g string, id bigint, amount decimal(12,3)")
 
 
-@pytest.mark.parametrize("bits", [16, 2])
+@pytest.mark.parametrize("bits", [(12, 28, 44), (2, 4, 6), (5,)])
 def test_equals_the_loop(spark, bits, monkeypatch):
     from freightlake.operators import prefix
 
+    if len(bits) == 3 and bits[0] == 2:
+        monkeypatch.setattr(prefix, "TOP_BLOCKS", 1)  # take every step
     plain = prefix.running_totals
     monkeypatch.setattr(
         prefix, "running_totals", lambda *a, **k: plain(*a, **k, block_bits=bits)
@@ -65,12 +67,26 @@ def test_totals_without_groups(spark):
 def test_no_window_sees_the_whole_table(spark):
     rows = spark.range(300_000).withColumn("v", F.lit(1).cast("decimal(9,0)"))
     got = running_totals(rows, ["v"], "id")
-    largest = got.groupBy(F.shiftright("id", 16)).count().agg(F.max("count")).first()[0]
-    assert largest == 65_536
+    largest = got.groupBy(F.shiftright("id", 12)).count().agg(F.max("count")).first()[0]
+    assert largest == 4096
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "windowspecdefinition(id#" not in plan
 
 
+def test_steps_follow_the_range_of_the_ids(spark):
+    from freightlake.operators.prefix import BLOCK_BITS, _steps
+
+    for ids, steps in [
+        ([], 1),
+        ([5, 9], 1),
+        ([0, 10**9], 2),
+        ([-(2**62), 2**62], 3),
+        ([-(2**63), 2**63 - 1], 3),
+    ]:
+        frame = spark.createDataFrame([(i,) for i in ids], "id bigint")
+        assert len(_steps(frame, "id", BLOCK_BITS)) == steps
+
+
 def test_ids_must_be_whole_numbers(spark):
     rows = spark.createDataFrame([("a", 1)], "id string, v int")
     with pytest.raises(ModelInputError):

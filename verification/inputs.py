@@ -176,14 +176,12 @@ def vehicle_of(code: Column) -> Column:
 
 def flow_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every flow taken as one truck trip; its vehicle follows the line."""
-    return raw_flows(spark, sf_dir).select(
-        "flow_id",
-        "dms_orig",
-        "dms_dest",
-        "sctg2",
-        vehicle_of(
-            F.element_at(F.split("flow_id", r"\|"), 4).cast("int")
-        ).alias("vehicle_type"),
+    return table(spark, sf_dir, "lineitem").select(
+        flow_id().alias("flow_id"),
+        (100 + F.col("l_suppkey") % 25).cast("int").alias("dms_orig"),
+        (100 + F.col("l_orderkey") % 26).cast("int").alias("dms_dest"),
+        (F.col("l_partkey") % 45 + 1).cast("int").alias("sctg2"),
+        vehicle_of(F.col("l_linenumber")).alias("vehicle_type"),
     )
 
 
