@@ -101,14 +101,15 @@ def allocate_internal_ends(
 
 def uncoded_ends(placed: DataFrame) -> DataFrame:
     """Regions of trip ends that got no zone, with the number of such ends."""
-    starts = placed.filter(F.col("origin").isNull()).select(
-        F.col("dms_orig").alias("faf_region")
-    )
-    ends = placed.filter(F.col("destination").isNull()).select(
-        F.col("dms_dest").alias("faf_region")
+    ends = F.array(
+        F.struct(F.col("dms_orig").alias("faf_region"), F.col("origin").alias("zone")),
+        F.struct(
+            F.col("dms_dest").alias("faf_region"), F.col("destination").alias("zone")
+        ),
     )
     return (
-        starts.unionAll(ends)
+        placed.select(F.inline(ends))
+        .filter(F.col("zone").isNull())
         .groupBy("faf_region")
         .agg(F.count(F.lit(1)).alias("uncoded_ends"))
     )

@@ -49,11 +49,8 @@ def missing_regions(
     trips: DataFrame, equivalencies: DataFrame, phantom_zones: DataFrame | None = None
 ) -> DataFrame:
     """Regions that trips use but that have no zone."""
-    used = (
-        trips.select(F.col("dms_orig").alias("faf_region"))
-        .unionAll(trips.select(F.col("dms_dest").alias("faf_region")))
-        .distinct()
-    )
+    ends = F.explode(F.array("dms_orig", "dms_dest"))
+    used = trips.select(ends.alias("faf_region")).distinct()
     known = _all_zones(equivalencies, phantom_zones).select("faf_region").distinct()
     return used.join(known, "faf_region", "left_anti")
 
@@ -193,9 +190,10 @@ def _with_pool(
     """Add the pool of each trip: the commodity's own where it has any weight
     in the region, ``equal`` where its coefficients leave none, else ``base``."""
     scaled = coefficients.select("sctg2").distinct().withColumn("_scaled", F.lit(True))
+    # The names of the other pools are no codes and give NULL.
     own = (
-        pools.filter(~F.col("pool").isin("base", "equal"))
-        .select(F.col("pool").cast("int").alias("sctg2"), region)
+        pools.select(F.col("pool").try_cast("int").alias("sctg2"), region)
+        .filter(F.col("sctg2").isNotNull())
         .distinct()
         .withColumn("_own", F.lit(True))
     )
