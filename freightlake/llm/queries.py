@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from freightlake.llm import common, sharding, token_counts
+from freightlake.llm import common, fingerprints, sharding, token_counts
 
 
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,8 +17,12 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(common.documents(spark, sf_dir).select("doc_id"))
 
 
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.with_neighbours(common.documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op5_token_counts, op9_sharding)
+    f.__name__: f for f in (op5_token_counts, op9_sharding, op10_fingerprints)
 }
 
 ORACLE: dict[str, str] = {"op9_sharding": sharding.PLACE_SQL}
