@@ -6,7 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from freightlake.llm import common, fingerprints, sharding, token_counts
+from freightlake.llm import common, fingerprints, packing, sharding, token_counts
+
+
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = common.documents(spark, sf_dir)
+    return packing.pack(packing.tokenized_pieces(documents, with_ids=False))
 
 
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,7 +27,7 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op5_token_counts, op9_sharding, op10_fingerprints)
+    f.__name__: f for f in (op3_best_fit_packing, op5_token_counts, op9_sharding, op10_fingerprints)
 }
 
 ORACLE: dict[str, str] = {"op9_sharding": sharding.PLACE_SQL}
