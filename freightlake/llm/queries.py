@@ -5,8 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from freightlake.llm import common, fingerprints, packing, sharding, token_counts
+from freightlake.llm import (
+    bpe,
+    common,
+    fingerprints,
+    packing,
+    sharding,
+    token_counts,
+)
 
 
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +26,17 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(common.documents(spark, sf_dir))
 
 
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = bpe.decode(bpe.encode(common.documents(spark, sf_dir)))
+    listed = F.concat_ws(",", F.col("ids").cast("array<string>"))
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(listed, 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(common.documents(spark, sf_dir).select("doc_id"))
 
@@ -27,7 +46,14 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_best_fit_packing, op5_token_counts, op9_sharding, op10_fingerprints)
+    f.__name__: f
+    for f in (
+        op3_best_fit_packing,
+        op5_token_counts,
+        op7_bpe,
+        op9_sharding,
+        op10_fingerprints,
+    )
 }
 
 ORACLE: dict[str, str] = {"op9_sharding": sharding.PLACE_SQL}
