@@ -8,12 +8,14 @@ from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from freightlake.sources.tables import shared_folder, stored_once
 
 __all__ = [
+    "WordHashes",
     "blank",
     "byte_column",
     "chunks",
@@ -58,6 +60,14 @@ def map_arrow(
     return df.mapInArrow(function, schema)
 
 
+class WordHashes(dict):
+    """Hashes of words; one that is asked for the first time is worked out."""
+
+    def __missing__(self, word: bytes) -> int:
+        found = self[word] = xxhash.xxh64_intdigest(word)
+        return found
+
+
 def text_column(batch: pa.RecordBatch, name: str) -> list[str]:
     return batch.column(name).to_pylist()
 

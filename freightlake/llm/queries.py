@@ -12,6 +12,7 @@ from freightlake.llm import (
     common,
     fingerprints,
     packing,
+    quality_rules,
     sharding,
     token_counts,
 )
@@ -37,6 +38,11 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = common.table(spark, sf_dir, "labels")
+    return quality_rules.apply_rules(common.documents(spark, sf_dir), labels)
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(common.documents(spark, sf_dir).select("doc_id"))
 
@@ -51,6 +57,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op3_best_fit_packing,
         op5_token_counts,
         op7_bpe,
+        op8_quality_rules,
         op9_sharding,
         op10_fingerprints,
     )
