@@ -21,22 +21,25 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import xxhash
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from freightlake.llm import common
 
 SAMPLES = 64
-TERMS = 1 << 17
+TERMS = 1 << 16
 SEED = 20_240_607
 
-# Words whose hashes a worker keeps, and terms it looks up at a time.
-CACHE_WORDS = 2_000_000
-CHUNK_WORDS = 60_000
+# Words whose hashes a worker keeps, words it signs at a time, and characters of
+# the texts that it holds at a time.
+CACHE_WORDS = 300_000
+CHUNK_WORDS = 40_000
+CHUNK_CHARACTERS = 4_000_000
 
 _FIRST, _LAST = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -49,23 +52,20 @@ class Sampler:
         draws = np.random.Generator(np.random.PCG64(seed))
         shape = (terms, samples)
         self.r = draws.standard_gamma(2.0, shape, np.float32)
-        self.ln_c = np.log(draws.standard_gamma(2.0, shape, np.float32))
         self.b = draws.random(shape, np.float32)
-        # Most terms occur once: ln(weight) is 0 then, and so is t.
-        self.single = self.ln_c - self.r * (1 - self.b)
-        self.words: dict[bytes, int] = {}
+        # Most terms occur once: ln(weight) is 0 then, so t is 0 and a is this.
+        self.single = draws.standard_gamma(2.0, shape, np.float32)
+        np.log(self.single, out=self.single)
+        for at in range(0, terms, 4096):
+            part = slice(at, at + 4096)
+            self.single[part] -= self.r[part] * (1 - self.b[part])
+        self.words = common.WordHashes()
 
     def _hashes(self, split: list[list[bytes]]) -> np.ndarray:
         if len(self.words) > CACHE_WORDS:
             self.words.clear()
-        known = self.words
-        for words in split:
-            for word in set(words):
-                if word not in known:
-                    known[word] = xxhash.xxh64_intdigest(word)
-        total = sum(map(len, split))
-        flat = (known[w] for words in split for w in words)
-        return np.fromiter(flat, np.uint64, total)
+        hashed = map(self.words.__getitem__, chain.from_iterable(split))
+        return np.fromiter(hashed, np.uint64, sum(map(len, split)))
 
     def _terms(self, split: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
         """Row of draws and text of every word pair; n words give n + 1 pairs."""
@@ -102,10 +102,11 @@ class Sampler:
                 r, b = self.r[own], self.b[own]
                 ln_w = np.log(weights[part][heavy].astype(np.float32))[:, None]
                 t = np.floor(ln_w / r + b)
-                # As the rows of single are made, so that t = 0 gives the same bits.
-                a[heavy] = np.where(t == 0, a[heavy], self.ln_c[own] - r * (t - b + 1))
+                a[heavy] -= r * t
             texts, first = np.unique(of[part], return_index=True)
-            least[texts] = np.minimum(least[texts], np.minimum.reduceat(a, first, axis=0))
+            ends = [*first[1:].tolist(), len(a)]
+            for own, start, end in zip(texts.tolist(), first.tolist(), ends, strict=True):
+                np.minimum(least[own], a[start:end].min(axis=0), out=least[own])
         return least
 
     def signatures(self, texts: list[bytes]) -> np.ndarray:
@@ -201,6 +202,35 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - half] + following[:half]
 
 
+def _compared(part: list[tuple], own: Sampler, kind: pa.DataType) -> pa.RecordBatch:
+    """Results of neighbouring rows (id, text, copy, block), all but the last one.
+
+    A row is complete once the row after it is known; copies only follow.
+    """
+    texts = [row[1] for row in part]
+    full = [
+        i
+        for i, (row, after) in enumerate(zip(part, part[1:]))
+        if row[2] == 0 and row[3] == after[3]
+    ]
+    raw = [edited(texts[i], texts[i + 1]).encode() for i in full]
+    plain = own.signatures([t.encode() for t in texts])
+    other = own.signatures(raw)
+    mine, following = plain[full], plain[[i + 1 for i in full]]
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array([part[i][0] for i in full], kind),
+            pa.array([len(texts[i]) for i in full], pa.int64()),
+            pa.array([hashlib.sha256(r).hexdigest() for r in raw], pa.string()),
+            pa.array(hexadecimal(mine), pa.string()),
+            pa.array(hexadecimal(other), pa.string()),
+            pa.array(likeness(mine, other), pa.float64()),
+            pa.array(likeness(mine, following), pa.float64()),
+        ],
+        NAMES,
+    )
+
+
 def with_neighbours(
     documents: DataFrame,
     doc_id: str = "doc_id",
@@ -236,38 +266,14 @@ def with_neighbours(
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = sampler(samples, terms, seed)
-        held: dict[str, list] | None = None
+        held: tuple | None = None
         for batch in batches:
-            new = batch.to_pydict()
-            part = {k: (held[k] if held else []) + new[k] for k in new}
-            count = len(part["text"])
-            if not count:
-                continue
-            held = {k: v[-1:] for k, v in part.items()}
-            # A row is complete once the row after it is known; copies only follow.
-            full = [
-                i
-                for i in range(count - 1)
-                if part["copy"][i] == 0 and part["block"][i + 1] == part["block"][i]
-            ]
-            texts = part["text"]
-            changed = [edited(texts[i], texts[i + 1]) for i in full]
-            raw = [c.encode() for c in changed]
-            plain = own.signatures([t.encode() for t in texts])
-            other = own.signatures(raw)
-            mine, following = plain[full], plain[[i + 1 for i in full]]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([part["doc_id"][i] for i in full], batch.column("doc_id").type),
-                    pa.array([len(texts[i]) for i in full], pa.int64()),
-                    pa.array([hashlib.sha256(r).hexdigest() for r in raw], pa.string()),
-                    pa.array(hexadecimal(mine), pa.string()),
-                    pa.array(hexadecimal(other), pa.string()),
-                    pa.array(likeness(mine, other), pa.float64()),
-                    pa.array(likeness(mine, following), pa.float64()),
-                ],
-                NAMES,
-            )
+            sizes = pc.binary_length(batch.column("text")).to_pylist()
+            for first, last in common.chunks(sizes, CHUNK_CHARACTERS):
+                new = zip(*batch.slice(first, last - first).to_pydict().values(), strict=True)
+                part = ([held] if held else []) + list(new)
+                held = part[-1]
+                yield _compared(part, own, batch.schema.field("doc_id").type)
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     schema = (
