@@ -11,22 +11,45 @@ from freightlake.llm import (
     bpe,
     common,
     fingerprints,
+    near_duplicates,
     packing,
+    quality,
     quality_rules,
+    repeats,
     sharding,
     token_counts,
 )
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = common.table(spark, sf_dir, "labels")
+    return quality.classify(common.documents(spark, sf_dir), labels)
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = common.documents(spark, sf_dir)
     return packing.pack(packing.tokenized_pieces(documents, with_ids=False))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    removed = repeats.remove_repeats(common.documents(spark, sf_dir))
+    return removed.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(common.documents(spark, sf_dir))
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.near_duplicates(common.documents(spark, sf_dir))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = bpe.decode(bpe.encode(common.documents(spark, sf_dir)))
     listed = F.concat_ws(",", F.col("ids").cast("array<string>"))
@@ -54,8 +77,11 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op2_quality_classifier,
         op3_best_fit_packing,
+        op4_suffix_dedup,
         op5_token_counts,
+        op6_simhash,
         op7_bpe,
         op8_quality_rules,
         op9_sharding,
