@@ -11,6 +11,7 @@ from freightlake.llm import (
     bpe,
     common,
     fingerprints,
+    licenses,
     near_duplicates,
     packing,
     quality,
@@ -21,6 +22,10 @@ from freightlake.llm import (
 )
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(common.documents(spark, sf_dir))
+
+
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = common.table(spark, sf_dir, "labels")
     return quality.classify(common.documents(spark, sf_dir), labels)
@@ -77,6 +82,7 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_license_scan,
         op2_quality_classifier,
         op3_best_fit_packing,
         op4_suffix_dedup,
