@@ -11,6 +11,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from freightlake.sources.tables import shared_folder, stored_once
 
@@ -46,7 +47,7 @@ def blank(df: DataFrame, *columns: str) -> DataFrame:
 def map_arrow(
     df: DataFrame,
     function: Callable[[Iterator[pa.RecordBatch]], Iterable[pa.RecordBatch]],
-    schema: str,
+    schema: str | StructType,
 ) -> DataFrame:
     """``mapInArrow`` whose workers find this package.
 

@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from freightlake.llm import common
+from freightlake.llm.bitmaps import maybe_in
 from freightlake.llm.components import connected_components
 
 RADIUS = 3
@@ -196,6 +197,23 @@ def near_links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
     return common.map_arrow(together, run, "u long, v long")
 
 
+def _components(classes: DataFrame, radius: int) -> DataFrame:
+    """``bits, root, least``: component of each fingerprint and its least ``first``."""
+    stars = connected_components(near_links(classes.select("bits"), radius))
+    rooted = classes.join(stars, classes["bits"] == stars["u"], "left").select(
+        "bits", "first", F.coalesce("v", "bits").alias("root")
+    )
+    # Only classes that have links need the least of their component.
+    least = (
+        rooted.join(stars.select(F.col("v").alias("root")).distinct(), "root", "left_semi")
+        .groupBy("root")
+        .agg(F.min("first").alias("least"))
+    )
+    return rooted.join(least, "root", "left").select(
+        "bits", "root", F.coalesce("least", "first").alias("least")
+    )
+
+
 def near_duplicates(
     documents: DataFrame,
     doc_id: str = "doc_id",
@@ -217,21 +235,72 @@ def near_duplicates(
     classes = common.stored_once(
         marked.groupBy("bits").agg(F.min("doc_id").alias("first")), "classes"
     )
-    stars = connected_components(near_links(classes.select("bits"), radius))
-    rooted = classes.join(stars, classes["bits"] == stars["u"], "left").select(
-        "bits", "first", F.coalesce("v", "bits").alias("root")
-    )
-    # Only classes that have links need the least id of their component.
-    least = (
-        rooted.join(stars.select(F.col("v").alias("root")).distinct(), "root", "left_semi")
-        .groupBy("root")
-        .agg(F.min("first").alias("least"))
-    )
-    named = rooted.join(least, "root", "left").select(
-        "bits", F.coalesce("least", "first").alias("component_id")
+    named = _components(classes, radius).select(
+        "bits", F.col("least").alias("component_id")
     )
     return marked.join(named, "bits").select(
         "doc_id",
         F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"),
         "component_id",
     )
+
+
+def keep_one(
+    documents: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    width: int = SHINGLE,
+    seed: int = SEED,
+    radius: int = RADIUS,
+) -> DataFrame:
+    """All columns of one row of each component: that of the smallest id.
+
+    Of rows with that id the one with the least hash of its text stays, and of
+    rows that are alike in both any one; null ids come last. Texts of documents
+    that are near no other are not shuffled.
+    """
+    rows = documents.withColumns(
+        {
+            "_id": F.col(doc_id),
+            "_key": F.xxhash64(F.coalesce(F.col(text), F.lit(""))),
+        }
+    )
+    marked = fingerprints(
+        rows.select(F.struct("_id", "_key").alias("who"), F.col(text).alias("words")),
+        "who",
+        "words",
+        width,
+        seed,
+    )
+    order = F.struct(F.col("doc_id._id").isNull().alias("last"), "doc_id._id", "doc_id._key")
+    marked = common.stored_once(marked.select(order.alias("who"), "bits"), "fingerprints")
+    classes = common.stored_once(
+        marked.groupBy("bits").agg(F.min("who").alias("first"), F.count(F.lit(1)).alias("n")),
+        "classes",
+    )
+    named = common.stored_once(_components(classes.select("bits", "first"), radius), "named")
+    # Components of several rows, however these are spread over fingerprints.
+    sizes = named.join(classes.select("bits", "n"), "bits").groupBy("root").agg(
+        F.sum("n").alias("rows"), F.min("least").alias("stays")
+    )
+    crowded = common.stored_once(sizes.where("rows > 1").select("root", "stays"), "crowded")
+    members = named.join(crowded, "root", "left_semi").select("bits")
+    touched = common.stored_once(
+        marked.join(members, "bits", "left_semi").select("who._id", "who._key").distinct(),
+        "touched",
+    ).withColumn("_who", F.xxhash64("_id", "_key"))
+    judged = maybe_in(
+        rows.withColumn("_who", F.xxhash64("_id", "_key")), "_who", touched, "_who", "_likely"
+    )
+    alone = judged.where("NOT _likely")
+    likely = judged.where("_likely")
+    same = F.col("l._id").eqNullSafe(F.col("r._id")) & (F.col("l._key") == F.col("r._key"))
+    apart = likely.alias("l").join(touched.alias("r"), same, "left_anti")
+    stays = crowded.select("stays._id", "stays._key").distinct()
+    staying = (
+        likely.alias("l")
+        .join(stays.alias("r"), same, "left_semi")
+        .dropDuplicates(["_id", "_key"])
+    )
+    kept = alone.unionByName(apart).unionByName(staying)
+    return kept.select(*[F.col(f"`{c}`") for c in documents.columns])

@@ -364,3 +364,36 @@ def classify(
         run,
         f"doc_id {kind}, held_out boolean, score double, predicted int",
     )
+
+
+def keep_good(
+    documents: DataFrame,
+    labels: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    sample: int = SAMPLE,
+    characters: int = SAMPLE_CHARACTERS,
+    threshold: float = 0.5,
+) -> DataFrame:
+    """All columns of the rows whose text scores ``threshold`` or more.
+
+    The rows stay where they are; texts are scored as ``classify`` does.
+    """
+    rows = common.blank(
+        documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")),
+        "text",
+    )
+    model = documents.sparkSession.sparkContext.broadcast(
+        train(rows, labels, sample, characters)
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            raw = [t or b"" for t in common.byte_column(batch, text)]
+            parts = [
+                model.value.score(read_lines(raw[first:last]))
+                for first, last in common.chunks(map(len, raw), CHUNK)
+            ]
+            yield batch.filter(pa.array(np.concatenate([np.empty(0), *parts]) >= threshold))
+
+    return common.map_arrow(documents, run, documents.schema)

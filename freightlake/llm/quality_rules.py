@@ -10,12 +10,12 @@ the base rules and scores ``threshold`` or more. Nothing is drawn at random.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,7 +34,7 @@ THRESHOLD = -0.05
 CACHE_WORDS = 500_000
 CHUNK_WORDS = 1_000_000
 
-_BLANKS, _SYMBOLS = b" \t\n\r\x0b\x0c", b"#*$%&|<>"
+_SYMBOLS, _INNER = b"#*$%&|<>", bytes(range(0x80, 0xC0))
 
 
 @lru_cache(maxsize=1)
@@ -80,7 +80,9 @@ class Grams:
         starts = np.flatnonzero(whole)
         windows = _mix(_mix(self.hashes[:-2], self.hashes[1:-1]), self.hashes[2:])[starts]
         owner = self.text[starts].astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
-        _, same, counts = np.unique(windows ^ owner, return_inverse=True, return_counts=True)
+        _, same, counts = np.unique(
+            windows ^ owner, return_inverse=True, return_counts=True
+        )
         starts = starts[counts[same] > 1]
         covered = np.zeros(len(self.hashes), bool)
         for step in range(3):
@@ -101,14 +103,6 @@ def trusted_ids(labels: DataFrame, most: int = TRUSTED) -> DataFrame:
     )
 
 
-def _split_batch(batch: pa.RecordBatch, text: str) -> Iterator[tuple[int, int, list, list]]:
-    raw = common.byte_column(batch, text)
-    # A word and the blank after it are two bytes at least.
-    for first, last in common.chunks(map(len, raw), 6 * CHUNK_WORDS):
-        part = raw[first:last]
-        yield first, last, part, [t.split() for t in part]
-
-
 def log_ratios(
     rows: DataFrame, buckets: int = BUCKETS, prior: float = PRIOR
 ) -> np.ndarray:
@@ -123,8 +117,9 @@ def log_ratios(
         sums = np.zeros((2, buckets), np.int64)
         for batch in batches:
             trusted = np.array(batch.column("trusted").to_pylist(), bool)
-            for first, last, _, split in _split_batch(batch, "text"):
-                grams = Grams(split, buckets)
+            raw = common.byte_column(batch, "text")
+            for first, last in common.chunks(map(len, raw), 6 * CHUNK_WORDS):
+                grams = Grams([t.split() for t in raw[first:last]], buckets)
                 sums[0] += np.bincount(grams.buckets, minlength=buckets)
                 chosen = grams.buckets[trusted[first:last][grams.of]]
                 sums[1] += np.bincount(chosen, minlength=buckets)
@@ -143,17 +138,82 @@ def log_ratios(
     return np.log((trusted + prior * raw) / (trusted.sum() + prior)) - np.log(raw)
 
 
+@dataclass(frozen=True)
+class Limits:
+    """What the base rules ask of a text, and the least score that is kept."""
+
+    threshold: float = THRESHOLD
+    least_words: int = 50
+    most_repeated: int = 50
+
+
+def learned_ratios(
+    rows: DataFrame,
+    labels: DataFrame,
+    buckets: int = BUCKETS,
+    prior: float = PRIOR,
+    most_trusted: int = TRUSTED,
+) -> np.ndarray:
+    """Ratios from all of ``rows`` (``doc_id, text``) and the trusted among them."""
+    trusted = trusted_ids(labels, most_trusted).withColumn("trusted", F.lit(True))
+    flagged = rows.join(F.broadcast(trusted), "doc_id", "left").select(
+        "text", F.coalesce("trusted", F.lit(False)).alias("trusted")
+    )
+    return log_ratios(flagged, buckets, prior)
+
+
+def judge(raw: list[bytes], weights: np.ndarray, limits: Limits) -> dict[str, np.ndarray]:
+    """Counts, score and verdict of some texts, by column."""
+    split = [t.split() for t in raw]
+    grams = Grams(split, len(weights))
+    sums = np.bincount(grams.of, weights[grams.buckets], len(raw))
+    score = sums / np.maximum(np.bincount(grams.of, minlength=len(raw)), 1)
+    # Bytes that go on a character are no code points of their own.
+    chars = [sum(map(len, words)) for words in split]
+    inner = [len(t) - len(t.translate(None, _INNER)) for t in raw]
+    symbols = [len(t) - len(t.translate(None, _SYMBOLS)) for t in raw]
+    repeated = grams.repeated_words()
+    full = [[x for x in t.split(b"\n") if x.strip()] for t in raw]
+    failed = (grams.sizes < limits.least_words) | (
+        100 * repeated > limits.most_repeated * grams.sizes
+    )
+    return {
+        "n_words": grams.sizes,
+        "word_chars": np.array(chars, np.int64) - np.array(inner, np.int64),
+        "n_symbols": np.array(symbols, np.int64),
+        "n_dup_lines": np.array([len(x) - len(set(x)) for x in full], np.int64),
+        "n_repeat_words": repeated,
+        "base_failed": failed,
+        "score": score,
+        "kept": ~failed & (score >= limits.threshold),
+    }
+
+
+def _judged(raw: list[bytes], weights: np.ndarray, limits: Limits) -> dict[str, np.ndarray]:
+    # A word and the blank after it are two bytes at least.
+    parts = [
+        judge(raw[first:last], weights, limits)
+        for first, last in common.chunks(map(len, raw), 6 * CHUNK_WORDS)
+    ] or [judge([], weights, limits)]
+    return {name: np.concatenate([p[name] for p in parts]) for name in parts[0]}
+
+
+def _rows(documents: DataFrame, doc_id: str, text: str) -> DataFrame:
+    return common.blank(
+        documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")),
+        "text",
+    )
+
+
 def apply_rules(
     documents: DataFrame,
     labels: DataFrame,
     doc_id: str = "doc_id",
     text: str = "text",
-    threshold: float = THRESHOLD,
+    limits: Limits = Limits(),
     buckets: int = BUCKETS,
     prior: float = PRIOR,
     most_trusted: int = TRUSTED,
-    least_words: int = 50,
-    most_repeated: int = 50,
 ) -> DataFrame:
     """Counts, verdict and score of every document, a row for each row.
 
@@ -164,53 +224,46 @@ def apply_rules(
     any trusted document all scores are 0, and the base rules alone decide. Rows
     of one id are each judged by their own text; other columns are left out.
     """
-    rows = common.blank(
-        documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")),
-        "text",
-    )
-    trusted = F.broadcast(trusted_ids(labels, most_trusted).withColumn("trusted", F.lit(True)))
-    flagged = rows.join(trusted, "doc_id", "left").select(
-        "text", F.coalesce("trusted", F.lit(False)).alias("trusted")
-    )
-    ratios = log_ratios(flagged, buckets, prior)
+    rows = _rows(documents, doc_id, text)
+    ratios = learned_ratios(rows, labels, buckets, prior, most_trusted)
     shared = documents.sparkSession.sparkContext.broadcast(ratios)
 
-    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights = shared.value
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            points = pc.utf8_length(batch.column("text")).to_numpy()
-            for first, last, raw, split in _split_batch(batch, "text"):
-                grams = Grams(split, buckets)
-                sums = np.bincount(grams.of, weights[grams.buckets], len(raw))
-                held = np.maximum(np.bincount(grams.of, minlength=len(raw)), 1)
-                score = sums / held
-                blanks = [len(t) - len(t.translate(None, _BLANKS)) for t in raw]
-                symbols = [len(t) - len(t.translate(None, _SYMBOLS)) for t in raw]
-                repeated = grams.repeated_words()
-                full = [[x for x in t.split(b"\n") if x.strip()] for t in raw]
-                failed = (grams.sizes < least_words) | (
-                    100 * repeated > most_repeated * grams.sizes
-                )
-                columns = {
-                    "n_words": grams.sizes,
-                    "word_chars": points[first:last].astype(np.int64) - blanks,
-                    "n_symbols": np.array(symbols, np.int64),
-                    "n_dup_lines": np.array([len(x) - len(set(x)) for x in full], np.int64),
-                    "n_repeat_words": repeated,
-                    "base_failed": failed,
-                    "score": score,
-                    "kept": ~failed & (score >= threshold),
-                }
-                keys = batch.column("doc_id").slice(first, last - first)
-                yield pa.RecordBatch.from_arrays(
-                    [keys, *map(pa.array, columns.values())], ["doc_id", *columns]
-                )
+            found = _judged(common.byte_column(batch, "text"), shared.value, limits)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), *map(pa.array, found.values())],
+                ["doc_id", *found],
+            )
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     return common.map_arrow(
         rows,
-        judge,
+        run,
         f"doc_id {kind}, n_words long, word_chars long, n_symbols long, "
         "n_dup_lines long, n_repeat_words long, base_failed boolean, score double, "
         "kept boolean",
     )
+
+
+def keep_passing(
+    documents: DataFrame,
+    labels: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    limits: Limits = Limits(),
+    buckets: int = BUCKETS,
+    prior: float = PRIOR,
+    most_trusted: int = TRUSTED,
+) -> DataFrame:
+    """All columns of the rows that ``apply_rules`` keeps, which stay where they are."""
+    rows = _rows(documents, doc_id, text)
+    ratios = learned_ratios(rows, labels, buckets, prior, most_trusted)
+    shared = documents.sparkSession.sparkContext.broadcast(ratios)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            raw = [t or b"" for t in common.byte_column(batch, text)]
+            yield batch.filter(pa.array(_judged(raw, shared.value, limits)["kept"]))
+
+    return common.map_arrow(documents, run, documents.schema)

@@ -549,12 +549,14 @@ def remove_repeats(
     doc_id: str = "doc_id",
     text: str = "text",
     length: int = LENGTH,
+    as_text: bool = False,
 ) -> DataFrame:
     """``doc_id, n_bytes, spans, kept`` of every row.
 
     ``spans`` are the maximal runs of bytes covered by any string of ``length``
     bytes that also starts elsewhere, in the same text or another one; ``kept``
-    is what remains, as binary. All places of a repeated string count, and all
+    is what remains, as binary, or as text without characters that were cut in
+    two. All places of a repeated string count, and all
     are judged on the input. A null text is empty. Repeated rows are repeats of
     each other like any other equal texts; other columns are left out.
     """
@@ -569,7 +571,7 @@ def remove_repeats(
         "doc_id",
         F.octet_length("text").cast("long").alias("n_bytes"),
         none.alias("spans"),
-        F.col("text").cast("binary").alias("kept"),
+        F.col("text").cast("string" if as_text else "binary").alias("kept"),
     )
     touched = (
         marked.where("likely")
@@ -588,13 +590,15 @@ def remove_repeats(
             for value, own in zip(raw, listed):
                 edges = [0, *(e for span in own for e in span), len(value)]
                 kept.append(b"".join(value[a:b] for a, b in zip(edges[::2], edges[1::2])))
+            if as_text:
+                kept = [k.decode("utf-8", "ignore") for k in kept]
             structs = [[{"start": a, "end": b} for a, b in own] for own in listed]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
                     pa.array(list(map(len, raw)), pa.int64()),
                     pa.array(structs, batch.column("spans").type),
-                    pa.array(kept, pa.binary()),
+                    pa.array(kept, pa.string() if as_text else pa.binary()),
                 ],
                 ["doc_id", "n_bytes", "spans", "kept"],
             )
@@ -604,6 +608,31 @@ def remove_repeats(
         touched,
         cut,
         f"doc_id {kind}, n_bytes long, "
-        "spans array<struct<start: bigint, end: bigint>>, kept binary",
+        "spans array<struct<start: bigint, end: bigint>>, "
+        f"kept {'string' if as_text else 'binary'}",
     )
     return plain.unionByName(removed)
+
+
+def without_repeats(
+    documents: DataFrame,
+    text: str = "text",
+    length: int = LENGTH,
+    characters: str = "n_chars",
+) -> DataFrame:
+    """All rows and columns, the text without its repeated spans.
+
+    A character that is cut in two goes as a whole. The column ``characters``, if
+    there is one, follows the new length. A null text becomes an empty one.
+    """
+    others = [c for c in documents.columns if c != text]
+    rows = documents.select(
+        F.struct(*[F.col(f"`{c}`") for c in others]).alias("others"),
+        F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"),
+    )
+    removed = remove_repeats(rows, "others", "text", length, as_text=True)
+    columns = {c: F.col(f"doc_id.`{c}`") for c in others} | {text: F.col("kept")}
+    if characters in columns and characters != text:
+        kind = documents.schema[characters].dataType
+        columns[characters] = F.length("kept").cast(kind)
+    return removed.select(*[columns[c].alias(c) for c in documents.columns])
