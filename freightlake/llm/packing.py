@@ -56,7 +56,7 @@ def tokenized_pieces(
         documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")),
         "text",
     )
-    end = np.array([end_id], np.uint32)
+    end = np.array([end_id], "<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = word_ids(tokenizer)
@@ -68,11 +68,11 @@ def tokenized_pieces(
                 of = words.known.__getitem__
                 rows_of, out = [], []
                 for at, own in enumerate(split, first):
-                    ids = np.concatenate([*map(of, own), end])
-                    for piece, start in enumerate(range(0, len(ids), length)):
-                        part = ids[start : start + length].astype("<u4", copy=False)
+                    ids = b"".join([*map(of, own), end])
+                    for piece, start in enumerate(range(0, len(ids) // 4, length)):
+                        part = ids[4 * start : 4 * (start + length)]
                         rows_of.append(at)
-                        out.append((piece, start, len(part), zlib.crc32(part), part))
+                        out.append((piece, start, len(part) // 4, zlib.crc32(part), part))
                 piece, start, size, crc, ids = zip(*out, strict=True)
                 columns = [
                     batch.column("doc_id").take(pa.array(rows_of)),
@@ -83,7 +83,7 @@ def tokenized_pieces(
                 ]
                 names = list(PIECE_COLUMNS)
                 if with_ids:
-                    columns.append(pa.array([p.astype(np.int32) for p in ids]))
+                    columns.append(pa.array([np.frombuffer(p, "<i4") for p in ids]))
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(columns, names)
 

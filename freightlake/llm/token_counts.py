@@ -8,13 +8,16 @@ that encodes what the table misses with the tokenizer's own library.
 
 from __future__ import annotations
 
+import json
+import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,7 +37,7 @@ SUMMARY_WORDS = 200_000
 SUMMARY_KEPT = 8_192
 
 # Words in a worker's cache before it starts anew.
-CACHE_WORDS = 2_000_000
+CACHE_WORDS = 1_500_000
 
 
 def split_words(text: str) -> list[str]:
@@ -45,25 +48,77 @@ def split_words(text: str) -> list[str]:
     return text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
 
 
+# Words of these letters alone are one word to the tokenizer too, whatever stands
+# around them, and stay so in lower case. Marks behind them begin a new one.
+_LETTERS = re.compile("[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+")
+_MARKS = ".,;:!?|*&$%#)"
+
+
 @lru_cache(maxsize=4)
 def load_tokenizer(path: str) -> Tokenizer:
     return Tokenizer.from_file(path)
 
 
+class Encoder:
+    """Ids of words by the tokenizer's library, as little-endian 32-bit numbers."""
+
+    def __init__(self, path: str) -> None:
+        self.tokenizer = load_tokenizer(path)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        suffix = json.loads(self.tokenizer.to_str())["model"]["end_of_word_suffix"]
+        ending = [i for w, i in vocabulary.items() if suffix and w.endswith(suffix)]
+        self.ends[ending] = True
+        self.letters = _LETTERS if ending else re.compile(r"(?!)")
+
+    def _plain(self, words: list[str]) -> list[bytes]:
+        """Words of letters, encoded as texts of many and cut behind each last token."""
+        texts = [" ".join(words[i : i + 200]) for i in range(0, len(words), 200)]
+        encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        flat = np.array([i for e in encoded for i in e.ids], "<u4")
+        raw = flat.tobytes()
+        cuts = [0, *(4 * (np.flatnonzero(self.ends[flat]) + 1)).tolist()]
+        return [raw[a:b] for a, b in zip(cuts, cuts[1:])]
+
+    def _others(self, words: list[str]) -> list[bytes]:
+        encoded = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
+        return [np.array(e.ids, "<u4").tobytes() for e in encoded]
+
+    def learn(self, known: dict, words: list[str], value: Callable = bytes) -> None:
+        """Put into ``known`` what ``value`` makes of the ids of each word.
+
+        A word of letters with marks behind it is put together from both parts,
+        of which more words consist; ``value`` has to allow for adding them.
+        """
+        heads, tails = [], []
+        for word in words:
+            head = word.rstrip(_MARKS)
+            if self.letters.fullmatch(head):
+                heads.append(head.lower())
+                tails.append(word[len(head) :])
+            else:
+                heads.append(word)
+                tails.append("")
+        plain, others = [], []
+        for part in {*heads, *tails}.difference(known):
+            (plain if self.letters.fullmatch(part) else others).append(part)
+        known.update(zip(plain, map(value, self._plain(plain)), strict=True))
+        known.update(zip(others, map(value, self._others(others)), strict=True))
+        for word, head, tail in zip(words, heads, tails, strict=True):
+            known[word] = known[head] + known[tail]
+
+
 class WordIds:
     """Token ids of words, kept for the life of a worker."""
 
     def __init__(self, path: str) -> None:
-        self.tokenizer = load_tokenizer(path)
-        self.known: dict[str, np.ndarray] = {}
+        self.encoder = Encoder(path)
+        self.known: dict[str, bytes] = {}
 
     def learn(self, words: set[str]) -> None:
         if len(self.known) > CACHE_WORDS:
             self.known.clear()
-        missing = [w for w in words if w not in self.known]
-        encoded = self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)
-        for word, e in zip(missing, encoded, strict=True):
-            self.known[word] = np.array(e.ids, np.uint32)
+        self.encoder.learn(self.known, list(words.difference(self.known)))
 
 
 @lru_cache(maxsize=2)
@@ -76,7 +131,7 @@ class LengthTable:
 
     def __init__(self, path: str, packed: tuple[bytes, bytes]) -> None:
         words, lengths = packed
-        self.tokenizer = load_tokenizer(path)
+        self.encoder = Encoder(path)
         self.frequent = dict(
             zip(words.decode().split("\n"), np.frombuffer(lengths, np.uint8).tolist())
         )
@@ -85,9 +140,8 @@ class LengthTable:
     def learn(self, words: set[str]) -> None:
         if len(self.known) > CACHE_WORDS + len(self.frequent):
             self.known = dict(self.frequent)
-        missing = [w for w in words if w not in self.known]
-        encoded = self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)
-        self.known.update(zip(missing, map(len, encoded), strict=True))
+        missing = list(words.difference(self.known))
+        self.encoder.learn(self.known, missing, lambda raw: len(raw) // 4)
 
 
 _tables: dict[tuple, LengthTable] = {}
@@ -176,7 +230,7 @@ def count_tokens(
                 lookup.learn(set(chain.from_iterable(split)))
                 of = lookup.known.__getitem__
                 tokens += [sum(map(of, words)) for words in split]
-            sizes = pa.compute.binary_length(batch.column("text").cast(pa.binary()))
+            sizes = pc.binary_length(batch.column("text").cast(pa.binary()))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),

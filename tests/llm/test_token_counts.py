@@ -7,11 +7,12 @@ HARD = [
     "   \n\t ",
     "It's WE'RE don't 12345 ###!!",
     "a<|endoftext|>b <|startoftext|>",
-    "tab\tnew\nline\r\nend\x0bvt\x0cff\x1cfs\x85nel\xa0nbsp em　wide",
+    "tab\tnew\nline\r\nend\x0bvt\x0cff\x1cfs\x85nel\xa0nbsp\u2003em\u3000wide",
     "café ́x e ́ 각 İstanbul ΣΑΣ",
     "z" * 5000,
     "你好 \U0001f600\U0001f600 " * 40,
     "\x00 nul",
+    "Word, WORD!! it's. Über|* \xaa\xba\xaa, x\u0301. \u1e9e\u0130 end) (a) a.b,c ... !!! a\u0338| \u00d7,",
 ]
 
 
