@@ -90,18 +90,22 @@ def temporal_gaps(trips: DataFrame, distributions: DataFrame) -> DataFrame:
 
 
 def period_matrix_labels(trips: DataFrame) -> DataFrame:
-    """Period of the start hour and the name of the matrix a trip belongs to."""
+    """Period of the start hour and the name of the matrix a trip belongs to.
+
+    Both are NULL for a trip without a start hour.
+    """
     # Hours of the periods and vehicle types of the groups.
     hour = F.col("start_hour")
     period = (
-        F.when((hour >= 7) & (hour < 9), "AM")
+        F.when(hour.isNull(), F.lit(None).cast("string"))
+        .when((hour >= 7) & (hour < 9), "AM")
         .when((hour >= 9) & (hour < 16), "MD")
         .when((hour >= 16) & (hour < 18), "PM")
         .otherwise("NT")
     )
     group = F.when(F.col("vehicle_type").isin("SU", "TT"), "SUT").otherwise("MUT")
     return trips.withColumn("period", period).withColumn(
-        "matrix", F.lower(F.concat_ws("_", "period", group))
+        "matrix", F.lower(F.concat("period", F.lit("_"), group))
     )
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from freightlake.functions import half_even, is_in
 from freightlake.operators.checks import require_none
 from freightlake.operators.expand import lay_out
-from freightlake.operators.prefix import bucket_round
+from freightlake.operators.prefix import bucket_round, without_id
 from freightlake.operators.profile import percent
 from freightlake.operators.sizing import MAX_BROADCAST_ROWS, broadcast_if_small
 from freightlake.operators.truckloads import VEHICLE_TYPES
@@ -21,7 +21,7 @@ URBAN_COUNTIES = ["Ada", "Canyon"]
 URBAN_FACTOR = "0.4"
 LOCAL_COMMODITY = 99
 
-RATE_TYPE = "decimal(18,9)"
+RATE_TYPE = "decimal(16,12)"
 EXACT_SUM = "decimal(38,4)"
 
 
@@ -78,6 +78,12 @@ def urban_scaling(
     )
 
 
+def _size_type(firms: DataFrame) -> str:
+    """A decimal type that holds firm sizes as their column does."""
+    kind = firms.schema["size"].dataType.simpleString()
+    return "decimal(10,0)" if kind in ("tinyint", "smallint", "int") else "decimal(16,6)"
+
+
 def exact_trips(
     firms: DataFrame,
     rates: DataFrame,
@@ -96,7 +102,7 @@ def exact_trips(
         max_broadcast_rows,
     )
     scaled = urban_scaling(firms, urban_counties).join(narrow, "sector", "left")
-    size = F.col("size").cast("decimal(10,0)")
+    size = F.col("size").cast(_size_type(firms))
 
     def trips(v: str):
         amount = F.col(f"_rate_{v}") * size * F.col("scaling_factor")
@@ -137,12 +143,13 @@ def generate_trips(
 ) -> DataFrame:
     """Local truck trips by firm, one row per trip numbered ``trip_number``.
 
-    Firms are shuffled before their trips are laid out unless ``spread`` is
-    off. With ``expand=False`` there is one row per firm and vehicle type that makes
+    Firms without an id make no trips (``prefix.without_id`` gives them). Firms
+    are shuffled before their trips are laid out unless ``spread`` is off. With ``expand=False`` there is one row per firm and vehicle type that makes
     any trip, and ``trip_number`` is NULL.
     """
     if strict:
         require_none(missing_rates(firms, rates), "no rates for sectors")
+        require_none(without_id(firms, order), "firms without an id")
     whole = rounded_trips(
         firms, rates, vehicles, urban_counties, order, max_broadcast_rows
     )

@@ -40,6 +40,23 @@ def missing_link_columns(links: DataFrame, period: str) -> list[str]:
     return missing_columns(links, required_link_columns(period))
 
 
+def link_columns_check(links: DataFrame, period: str) -> DataFrame:
+    """``name, present, filled``: each column a period needs, whether the table has
+    it, and the rows in which it is not NULL."""
+    needed = required_link_columns(period)
+    there = [name for name in needed if name in links.columns]
+    counted = links.agg(*[F.count(F.col(f"`{name}`")).alias(name) for name in there])
+    rows = [
+        F.struct(
+            F.lit(name).alias("name"),
+            F.lit(name in there).alias("present"),
+            (F.col(f"`{name}`") if name in there else F.lit(0)).cast("bigint").alias("filled"),
+        )
+        for name in needed
+    ]
+    return counted.select(F.inline(F.array(*rows)))
+
+
 def link_id(combine_directions: bool = True) -> Column:
     """Name of a link by its nodes, the same both ways if combined."""
     a, b = F.col("A").cast("bigint"), F.col("B").cast("bigint")

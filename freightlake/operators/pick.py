@@ -23,9 +23,12 @@ from freightlake.operators.sizing import (
 )
 from freightlake.sources.tables import stored_once
 
-# Exact sums need a fixed scale; weights are resolved to a millionth of a
-# millionth.
-WEIGHT_TYPE = "decimal(38,12)"
+# Exact sums need a fixed scale. Weights are taken relative to the largest of
+# their group, so only their ratio counts, and 18 decimals reach further than the
+# 52 bits of a draw.
+WEIGHT_TYPE = "decimal(38,18)"
+
+_INTEGRAL = {"tinyint", "smallint", "int", "bigint"}
 
 # Where rows are shuffled to their candidates, a group is spread over at least
 # this many keys.
@@ -41,27 +44,39 @@ def candidate_stretches(
 ) -> DataFrame:
     """Candidates that can be drawn, with their stretch ``_low`` to ``_high``.
 
-    ``choice`` must be unique within the group. A missing weight counts as
-    zero; the only candidate of a group is drawn whatever its weight.
-    ``_candidates`` is the number of candidates of the group.
+    ``choice`` must be unique within the group. A missing or negative weight
+    counts as zero (``unusable_weights`` gives such candidates); the only
+    candidate of a group is drawn whatever its weight. ``_candidates`` is the
+    number of candidates of the group. Choices that are no integers lie in the
+    order of a digest, the same in both forms.
     """
     group = list(group)
-    weights = candidates.select(
+    none = F.lit(0).cast(WEIGHT_TYPE)
+    order = F.col(choice).cast("bigint")
+    if candidates.schema[choice].dataType.simpleString() not in _INTEGRAL:
+        digits = F.substring(F.md5(F.col(choice).cast("string")), 1, 15)
+        order = F.conv(digits, 16, 10).cast("bigint")
+    given = candidates.select(
         *group,
         choice,
-        F.coalesce(F.col(weight).cast(WEIGHT_TYPE), F.lit(0).cast(WEIGHT_TYPE)).alias(
-            "_weight"
+        order.alias("_order"),
+        F.greatest(F.nanvl(F.col(weight).cast("double"), F.lit(0.0)), F.lit(0.0)).alias(
+            "_given"
         ),
     )
+    share = F.try_divide("_given", "_most").cast(WEIGHT_TYPE)
     sole = F.when(F.col("_candidates") == 1, F.lit(1).cast(WEIGHT_TYPE))
-    effective = sole.otherwise(F.col("_weight")).alias("_weight")
+    effective = sole.otherwise(F.coalesce(share, none)).alias("_weight")
+    kept = [*group, choice, "_order", "_candidates"]
     if small:
         # The whole table is known to be small, and so is every group.
         pool = Window.partitionBy(*group)
-        weights = weights.select(
-            "*", F.count(F.lit(1)).over(pool).alias("_candidates")
-        ).select(*group, choice, "_candidates", effective)
-        upto = pool.orderBy(choice).rowsBetween(
+        weights = given.select(
+            "*",
+            F.count(F.lit(1)).over(pool).alias("_candidates"),
+            F.max("_given").over(pool).alias("_most"),
+        ).select(*kept, effective)
+        upto = pool.orderBy("_order").rowsBetween(
             Window.unboundedPreceding, Window.currentRow
         )
         summed = weights.select(
@@ -70,28 +85,14 @@ def candidate_stretches(
             F.sum("_weight").over(upto).alias("_upto"),
         )
     else:
-        sums = weights.groupBy(*group).agg(
-            F.count(F.lit(1)).alias("_candidates"), F.sum("_weight").alias("_all")
-        )
-        if group:
-            joined = weights.join(sums, group)
-        else:
-            joined = weights.withColumns(
-                {
-                    "_candidates": sums.select("_candidates").scalar(),
-                    "_all": sums.select("_all").scalar(),
-                }
-            )
-        total = F.when(F.col("_candidates") == 1, F.lit(1).cast(WEIGHT_TYPE))
-        weights = joined.select(
-            *group,
-            choice,
-            "_candidates",
-            effective,
-            total.otherwise(F.col("_all")).alias("_all"),
-        )
+        weights = _with_sums(
+            given,
+            group,
+            [F.count(F.lit(1)).alias("_candidates"), F.max("_given").alias("_most")],
+        ).select(*kept, effective)
+        weights = _with_sums(weights, group, [F.sum("_weight").alias("_all")])
         summed = running_totals(
-            weights, ["_weight"], choice, group, prefix="_upto"
+            weights, ["_weight"], "_order", group, prefix="_upto"
         ).withColumnRenamed("_upto_weight", "_upto")
     everything = F.col("_all").cast("double")
     upper = F.col("_upto").cast("double")
@@ -105,6 +106,21 @@ def candidate_stretches(
     )
 
 
+def _with_sums(rows: DataFrame, group: list[str], sums: list[Column]) -> DataFrame:
+    """Rows with aggregates of their group, or of all rows without a group."""
+    totals = rows.groupBy(*group).agg(*sums)
+    if group:
+        return rows.join(totals, group)
+    names = [name for name in totals.columns]
+    return rows.withColumns({n: totals.select(n).scalar() for n in names})
+
+
+def unusable_weights(candidates: DataFrame, weight: str) -> DataFrame:
+    """Candidates whose weight is missing, negative or no number."""
+    value = F.col(weight).cast("double")
+    return candidates.filter(value.isNull() | F.isnan(value) | (value < 0))
+
+
 def _power_of_two_from(n: Column, least: int) -> Column:
     return F.pow(F.lit(2.0), F.ceil(F.log2(F.greatest(n, F.lit(least)))))
 

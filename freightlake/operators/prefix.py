@@ -12,8 +12,9 @@ over all of 64 bits.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from freightlake.operators.checks import ModelInputError
@@ -40,6 +41,17 @@ def _steps(df: DataFrame, order: str, block_bits: Sequence[int]) -> list[int]:
     ]
 
 
+def without_id(df: DataFrame, order: str) -> DataFrame:
+    """Rows that running totals leave out for want of an id."""
+    return df.filter(F.col(order).isNull())
+
+
+def _same(keys: Sequence[str]) -> Column:
+    """Equal keys on both sides, ``l`` and ``r``; NULL equals NULL."""
+    tests = [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys]
+    return reduce(lambda a, b: a & b, tests)
+
+
 def running_totals(
     df: DataFrame,
     values: Sequence[str],
@@ -51,10 +63,13 @@ def running_totals(
 ) -> DataFrame:
     """Add the running total of each of ``values`` up to and with each row.
 
-    ``order`` is an integer id, unique within ``by``. Decimal values give
-    totals that do not depend on the layout of the data. ``last`` names a
+    ``order`` is an integer id, unique within ``by``. Rows without an id have no
+    place in the order: they are left out, of the totals too, and ``without_id``
+    gives them back. A NULL in ``by`` is a group like any other. Decimal values
+    give totals that do not depend on the layout of the data. ``last`` names a
     column to hold the highest id within ``by``.
     """
+    df = df.filter(F.col(order).isNotNull())
     kind = df.schema[order].dataType.simpleString()
     if kind not in _INTEGRAL:
         raise ModelInputError(f"running totals need an integer id, {order} is {kind}")
@@ -106,7 +121,9 @@ def running_totals(
         offsets = (
             ladder[level - 1]
             .drop("_last")
-            .join(offsets, outer)
+            .alias("l")
+            .join(offsets.alias("r"), _same(outer))
+            .select("l.*", "r._last", *[f"r._before_{v}" for v in values])
             .select(
                 *by,
                 block(level),
@@ -124,7 +141,11 @@ def running_totals(
         .orderBy(order)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    joined = rows.join(offsets, [*by, block(1)])
+    joined = (
+        rows.alias("l")
+        .join(offsets.alias("r"), _same([*by, block(1)]))
+        .select("l.*", "r._last", *[f"r._before_{v}" for v in values])
+    )
     return joined.select(
         *df.columns,
         *([F.col("_last").alias(last)] if last else []),

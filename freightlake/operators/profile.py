@@ -48,22 +48,20 @@ def with_percent_of_total(
     )
 
 
-# Columns are compared as one of three kinds, so that minimum, maximum and the
-# order of listed values follow the column's own type.
-_WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
-_FRACTIONAL = (T.FloatType, T.DoubleType, T.DecimalType)
-
-
-def _kind(data_type: T.DataType) -> str:
-    if isinstance(data_type, _WHOLE):
-        return "bigint"
-    if isinstance(data_type, _FRACTIONAL):
-        return "double"
-    return "string"
-
-
-def _as_text(value: Column, kind: str) -> Column:
-    if kind != "double":
+_NUMERIC = (
+    T.ByteType,
+    T.ShortType,
+    T.IntegerType,
+    T.LongType,
+    T.FloatType,
+    T.DoubleType,
+    T.DecimalType,
+)
+_NESTED = (T.ArrayType, T.MapType, T.StructType, T.VariantType)
+
+
+def _as_text(value: Column, data_type: T.DataType) -> Column:
+    if not isinstance(data_type, (T.FloatType, T.DoubleType)):
         return value.cast("string")
     whole = (value == F.floor(value)) & (F.abs(value) < F.lit(1e15))
     return F.when(whole, value.cast("bigint").cast("string")).otherwise(
@@ -71,35 +69,72 @@ def _as_text(value: Column, kind: str) -> Column:
     )
 
 
-def _profile_kind(df: DataFrame, names: list[str], kind: str, threshold: int):
-    long = df.select(*[F.col(name).cast(kind).alias(name) for name in names]).unpivot(
-        [], names, "Variable", "value"
-    )
-    values = long.groupBy("Variable", "value").agg(F.count(F.lit(1)).alias("n"))
-    zeros = F.sum(F.when(F.col("value") == 0, F.col("n")))
+def _value_counts(df: DataFrame) -> tuple[DataFrame, dict[str, T.DataType]]:
+    """``Variable``, its value and ``n``; values of one type share a column.
+
+    A value keeps its own type, so distinct values, least and largest one follow
+    it; nested values count by their text. The table is read once and there is
+    one shuffle for all columns.
+    """
+    kinds: dict[T.DataType, str] = {}
+    chosen: list[tuple[str, str, Column]] = []
+    for field in df.schema.fields:
+        value, kind = F.col(f"`{field.name}`"), field.dataType
+        if isinstance(kind, _NESTED):
+            value, kind = value.cast("string"), T.StringType()
+        slot = kinds.setdefault(kind, f"_{len(kinds)}")
+        chosen.append((field.name, slot, value))
+    slots = {slot: kind for kind, slot in kinds.items()}
+    rows = [
+        F.struct(
+            F.lit(name).alias("Variable"),
+            *[
+                (value if own == slot else F.lit(None).cast(kind)).alias(slot)
+                for slot, kind in slots.items()
+            ],
+        )
+        for name, own, value in chosen
+    ]
+    long = df.select(F.explode(F.array(*rows)).alias("cell")).select("cell.*")
+    counted = long.groupBy("Variable", *slots).agg(F.count(F.lit(1)).alias("n"))
+    return counted, slots
+
+
+def _profile(df: DataFrame, threshold: int) -> DataFrame:
+    values, slots = _value_counts(df)
+    present = F.lit(False)
+    for slot in slots:
+        present = present | F.col(slot).isNotNull()
+    numeric = [s for s, kind in slots.items() if isinstance(kind, _NUMERIC)]
+    zero = F.lit(False)
+    for slot in numeric:
+        zero = zero | F.coalesce(F.col(slot) == 0, F.lit(False))
+
+    def text_of(pick) -> Column:
+        return F.coalesce(*[_as_text(pick(F.col(s)), kind) for s, kind in slots.items()])
+
     summary = values.groupBy("Variable").agg(
-        F.count("value").alias("Unique"),
-        F.coalesce(
-            F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)
-        ).alias("Missing"),
-        (F.coalesce(zeros, F.lit(0)) if kind != "string" else F.lit(0))
-        .cast("bigint")
-        .alias("Zeros"),
-        _as_text(F.min("value"), kind).alias("_lowest"),
-        _as_text(F.max("value"), kind).alias("_highest"),
+        F.count_if(present).alias("Unique"),
+        F.sum(F.when(present, 0).otherwise(F.col("n"))).alias("Missing"),
+        F.sum(F.when(zero, F.col("n")).otherwise(0)).alias("Zeros"),
+        text_of(F.min).alias("_lowest"),
+        text_of(F.max).alias("_highest"),
     )
     # Only columns under the threshold have their values listed, so no list
     # holds more than `threshold` entries. One row per column: broadcast. Every
     # column of `values` is used again, so its shuffle is made only once.
     few = F.broadcast(summary.filter(F.col("Unique") < threshold).select("Variable"))
-    value = F.when(F.col("n") > 0, F.col("value"))
+    value = F.when((F.col("n") > 0) & present, F.struct(*slots))
     listed = (
         values.join(few, "Variable")
         .groupBy("Variable")
         .agg(
             F.array_join(
                 F.transform(
-                    F.array_sort(F.collect_list(value)), lambda v: _as_text(v, kind)
+                    F.array_sort(F.collect_list(value)),
+                    lambda v: F.coalesce(
+                        *[_as_text(v[s], kind) for s, kind in slots.items()]
+                    ),
                 ),
                 ", ",
             ).alias("_listed")
@@ -118,13 +153,7 @@ def profile_columns(
     """
     spark = df.sparkSession
     fields = df.schema.fields
-    by_kind: dict[str, list[str]] = {}
-    for field in fields:
-        by_kind.setdefault(_kind(field.dataType), []).append(field.name)
-    profiled = None
-    for kind, names in by_kind.items():
-        part = _profile_kind(df, names, kind, threshold)
-        profiled = part if profiled is None else profiled.unionByName(part)
+    profiled = _profile(df, threshold)
     classes = spark.createDataFrame(
         [(field.name, field.dataType.simpleString()) for field in fields],
         "Variable string, Class string",

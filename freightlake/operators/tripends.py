@@ -159,12 +159,12 @@ def sample_tripends(
     for zone, region, kind in (("ozone", "dms_orig", "M"), ("dzone", "dms_dest", "U")):
         pools = local_if_small(
             _pools(candidates, makeuse_coefficients, kind), max_broadcast_rows
-        ).withColumnRenamed("faf_region", region)
+        ).withColumnsRenamed({"faf_region": region, "pool": "_pool"})
         group = [region]
         if makeuse_coefficients is not None:
             rows = makeuse_coefficients.filter(F.col("MorU") == kind)
             placed = _with_pool(placed, pools, rows, region, max_broadcast_rows)
-            group = ["pool", region]
+            group = ["_pool", region]
         placed = weighted_pick(
             placed,
             pools,
@@ -174,7 +174,7 @@ def sample_tripends(
             keyed_uniform(*keys, stage=zone, seed=seed),
             zone,
             max_broadcast_rows=max_broadcast_rows,
-        ).drop("pool")
+        ).drop("_pool")
     if strict:
         require_none(missing_tripends(placed).select(*keys), "trips without a zone")
     return placed
@@ -192,7 +192,7 @@ def _with_pool(
     scaled = coefficients.select("sctg2").distinct().withColumn("_scaled", F.lit(True))
     # The names of the other pools are no codes and give NULL.
     own = (
-        pools.select(F.col("pool").try_cast("int").alias("sctg2"), region)
+        pools.select(F.col("_pool").try_cast("int").alias("sctg2"), region)
         .filter(F.col("sctg2").isNotNull())
         .distinct()
         .withColumn("_own", F.lit(True))
@@ -201,7 +201,7 @@ def _with_pool(
         trips.join(broadcast_if_small(scaled, max_broadcast_rows), "sctg2", "left")
         .join(broadcast_if_small(own, max_broadcast_rows), ["sctg2", region], "left")
         .withColumn(
-            "pool",
+            "_pool",
             F.when(F.col("_own"), F.col("sctg2").cast("string"))
             .when(F.col("_scaled"), "equal")
             .otherwise("base"),

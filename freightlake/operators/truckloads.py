@@ -3,7 +3,7 @@
 Truck counts are linear in tons until they are rounded. So the factor tables,
 which know nothing of single flows, are first combined into one small table
 with a row per distance band and commodity that holds the rates of all vehicle
-types. Each flow finds its row by two broadcast lookups, works out its total in
+types. Each flow finds its band by comparisons and its row by a broadcast lookup, works out its total in
 plain columns, and is then laid out by vehicle type: no shuffle and no lambda,
 all in generated code, and little enough of it for the JVM to compile.
 """
@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from freightlake.functions import half_even, settled
+from freightlake.operators.checks import ModelInputError
 from freightlake.operators.sizing import (
     MAX_BROADCAST_ROWS,
     broadcast_if_small,
@@ -45,7 +46,8 @@ CROSSING_TYPES = {
     "x-border": "border",
 }
 
-BAND_BIN = 64
+# Distance bands that a plan may hold.
+MAX_BANDS = 1000
 
 
 @dataclass(frozen=True)
@@ -107,35 +109,58 @@ def unpivot_empty(
     )
 
 
+def band_edges(bands: DataFrame) -> list[tuple]:
+    """Lowest and highest distance of each band, in order.
+
+    Bands are parameters: more than ``MAX_BANDS``, bands that overlap and bands
+    without an edge are refused.
+    """
+    ranges = bands.select("minimum_range", "maximum_range").distinct()
+    edges = [tuple(row) for row in ranges.limit(MAX_BANDS + 1).collect()]
+    if len(edges) > MAX_BANDS:
+        raise ModelInputError(f"more than {MAX_BANDS} distance bands")
+    if any(None in edge for edge in edges):
+        raise ModelInputError("distance bands without an edge")
+    edges.sort()
+    for (low, high), after in zip(edges, [*edges[1:], None]):
+        if low > high or (after is not None and after[0] <= high):
+            raise ModelInputError(f"distance band {low} to {high} overlaps or is empty")
+    return edges
+
+
 def distance_band_lookup(
     flows: DataFrame,
     bands: DataFrame,
     distance: str = "wgt_dist",
     how: str = "left",
-    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """Add the band whose inclusive range holds the rounded distance.
 
-    Bands are laid out over bins of 64 distance units, which turns the range
-    lookup into an equi-join. Flows outside every band get NULLs, or are left
-    out with ``how="inner"``.
+    The few edges become a search tree of comparisons in the plan: no join, and
+    a band costs the same however wide it is. Flows outside every band get NULLs,
+    or are left out with ``how="inner"``.
     """
-    ranges = bands.select("minimum_range", "maximum_range").distinct()
-    low = F.floor(F.col("minimum_range") / BAND_BIN)
-    high = F.floor(F.col("maximum_range") / BAND_BIN)
-    binned = ranges.withColumn("_bin", F.explode(F.sequence(low, high)))
+    edges = band_edges(bands)
     rounded = half_even(F.col(distance))
-    numbered = flows.withColumns(
-        {"_distance": rounded, "_bin": F.floor(rounded / BAND_BIN)}
-    )
-    small = broadcast_if_small(binned, max_broadcast_rows)
-    inside = F.col("_distance").between(F.col("minimum_range"), F.col("maximum_range"))
-    return (
-        numbered.alias("f")
-        .join(small.alias("b"), (F.col("f._bin") == F.col("b._bin")) & inside, how)
-        .select("f.*", "minimum_range", "maximum_range")
-        .drop("_distance", "_bin")
+    kinds = [bands.schema[name].dataType for name in ("minimum_range", "maximum_range")]
+
+    def search(part: list[tuple], side: int) -> Column:
+        """The edge of the last band that starts at the distance or before it."""
+        if len(part) <= 1:
+            return F.lit(part[0][side] if part else None).cast(kinds[side])
+        middle = len(part) // 2
+        below = rounded < F.lit(part[middle][0])
+        return F.when(below, search(part[:middle], side)).otherwise(
+            search(part[middle:], side)
+        )
+
+    inside = rounded.between(search(edges, 0), search(edges, 1))
+    found = flows.select(
+        "*",
+        F.when(inside, search(edges, 0)).alias("minimum_range"),
+        F.when(inside, search(edges, 1)).alias("maximum_range"),
     )
+    return found.filter(F.col("minimum_range").isNotNull()) if how == "inner" else found
 
 
 def _rate_of(vehicle: str) -> str:
@@ -226,9 +251,7 @@ def match_factors(
     """Flows with their band and combined factors, NULL where none apply."""
     most = factors.max_broadcast_rows
     combined = broadcast_if_small(combined_factors(factors), most)
-    banded = distance_band_lookup(
-        flows, factors.allocation, how=how, max_broadcast_rows=most
-    )
+    banded = distance_band_lookup(flows, factors.allocation, how=how)
     return banded.join(combined, ["minimum_range", "maximum_range", "sctg2"], how)
 
 

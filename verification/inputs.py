@@ -22,13 +22,17 @@ from freightlake.operators.truckloads import (
 
 TARGET_YEAR = 2014
 INTERNAL_REGIONS = [101, 103, 107, 113, 118]
-BANDS = [(0, 50), (51, 100), (101, 200), (201, 500), (501, 1150)]
+# Edges grow with the square of the band's number; nothing covers 481 to 500,
+# and the last band is open.
+OPEN_END = 2147483647
+BANDS = [
+    (40 * j * (j + 1) + (j > 0) + 20 * (j == 3), 40 * (j + 1) * (j + 2) if j < 4 else OPEN_END)
+    for j in range(5)
+]
+SECTORS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 RATES = [
-    ("AUTOMOBILE", 0.888, 0.1, 0.065, 0.02, 0.0),
-    ("BUILDING", 1.11, 0.2, 0.174, 0.03, 0.001),
-    ("FURNITURE", 0.938, 0.15, 0.104, 0.02, 0.0),
-    ("HOUSEHOLD", 0.251, 0.05, 0.038, 0.0, 0.0),
-    ("MACHINERY", 0.437, 0.06, 0.009, 0.01, 0.002),
+    (sector, *[((i * 7 + k * 3) % 11) / 16 for k in range(1, len(VEHICLE_TYPES) + 1)])
+    for i, sector in enumerate(SECTORS, 1)
 ]
 OUTER_PAIRS = [(101, 107, 11, 12), (104, 120, 13, 14), (107, 101, 12, 11)]
 
@@ -199,9 +203,10 @@ def firms(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def rates(spark: SparkSession) -> DataFrame:
+def rates(spark: SparkSession, sectors: int = len(SECTORS)) -> DataFrame:
+    """Trip rates of the first few sectors."""
     vehicles = ", ".join(f"{v} double" for v in VEHICLE_TYPES)
-    return parameters(spark, RATES, f"sector string, {vehicles}")
+    return parameters(spark, RATES[:sectors], f"sector string, {vehicles}")
 
 
 def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
