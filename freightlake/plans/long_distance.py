@@ -5,18 +5,26 @@ from __future__ import annotations
 from collections.abc import Collection
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from freightlake.operators.allocation import allocate_internal_ends
 from freightlake.operators.daily import (
     TARGET_DAY,
     TARGET_WEEK,
     TRUCK_KEYS,
     sample_daily_trucks,
     temporal_allocation,
+    temporal_gaps,
 )
 from freightlake.operators.flows import prepare_flows
 from freightlake.operators.matrices import od_matrices
-from freightlake.operators.tripends import sample_tripends
-from freightlake.operators.truckloads import TruckFactors, annual_truckloads
+from freightlake.operators.tripends import missing_tripends, sample_tripends
+from freightlake.operators.truckloads import (
+    TruckFactors,
+    annual_truckloads,
+    rejected_flows,
+)
+from freightlake.plans.rejects import counted, together
 from freightlake.sources import stored_once
 
 
@@ -29,6 +37,7 @@ def daily_trucks(
     target_week: int = TARGET_WEEK,
     target_day: int = TARGET_DAY,
     seed: int = 0,
+    load_consolidation_factor: float = 1.0,
 ) -> DataFrame:
     """Flow database to the trucks of one day; ``flow_id`` names a flow."""
     study = prepare_flows(
@@ -37,7 +46,7 @@ def daily_trucks(
         internal_regions=internal_regions,
         outer_regions=outer_regions,
     )
-    annual = annual_truckloads(study, factors)
+    annual = annual_truckloads(study, factors, load_consolidation_factor)
     return sample_daily_trucks(annual, target_week, target_day, seed=seed)
 
 
@@ -54,14 +63,23 @@ def trip_matrices(
     internal_regions: Collection[int] | None = None,
     outer_regions: DataFrame | None = None,
     seed: int = 0,
+    strict: bool = False,
+    load_consolidation_factor: float = 1.0,
 ) -> DataFrame:
     """Flow database to matrices of one day's trucks by zone pair.
 
     Attractions are added up over all firms and then used for both ends, so
-    they are stored once in the shared folder.
+    they are stored once in the shared folder. With ``strict`` trucks without a
+    zone or an hour raise; otherwise ``rejects`` counts them.
     """
     trucks = daily_trucks(
-        flows, target_year, factors, internal_regions, outer_regions, seed=seed
+        flows,
+        target_year,
+        factors,
+        internal_regions,
+        outer_regions,
+        seed=seed,
+        load_consolidation_factor=load_consolidation_factor,
     )
     ended = sample_tripends(
         trucks,
@@ -72,6 +90,101 @@ def trip_matrices(
         makeuse_coefficients,
         keys=TRUCK_KEYS,
         seed=seed,
+        strict=strict,
+    )
+    timed = temporal_allocation(
+        ended, distributions, keys=TRUCK_KEYS, seed=seed, strict=strict
     )
-    timed = temporal_allocation(ended, distributions, keys=TRUCK_KEYS, seed=seed)
     return od_matrices(timed, "ozone", "dzone")
+
+
+def allocated_matrices(
+    flows: DataFrame,
+    target_year: int,
+    factors: TruckFactors,
+    zonal_attractions: DataFrame,
+    equivalencies: DataFrame,
+    distributions: DataFrame,
+    inside: Collection[int],
+    outer_regions: DataFrame | None = None,
+    seed: int = 0,
+    strict: bool = False,
+    load_consolidation_factor: float = 1.0,
+) -> DataFrame:
+    """The other route: ends ``inside`` are drawn from all zones, others coded.
+
+    ``zonal_attractions`` is wide, a column for each vehicle type.
+    """
+    trucks = daily_trucks(
+        flows,
+        target_year,
+        factors,
+        outer_regions=outer_regions,
+        seed=seed,
+        load_consolidation_factor=load_consolidation_factor,
+    )
+    placed = allocate_internal_ends(
+        trucks,
+        inside,
+        stored_once(zonal_attractions, "attractions"),
+        equivalencies,
+        keys=TRUCK_KEYS,
+        seed=seed,
+        strict=strict,
+    )
+    timed = temporal_allocation(
+        placed, distributions, keys=TRUCK_KEYS, seed=seed, strict=strict
+    )
+    return od_matrices(timed)
+
+
+def rejects(
+    flows: DataFrame,
+    target_year: int,
+    factors: TruckFactors,
+    zonal_attractions: DataFrame,
+    equivalencies: DataFrame,
+    distributions: DataFrame,
+    included_attractions: Collection[str] = ("Heavy",),
+    phantom_zones: DataFrame | None = None,
+    makeuse_coefficients: DataFrame | None = None,
+    internal_regions: Collection[int] | None = None,
+    outer_regions: DataFrame | None = None,
+    seed: int = 0,
+    load_consolidation_factor: float = 1.0,
+) -> DataFrame:
+    """``stage, reason, rows``: what ``trip_matrices`` leaves out or incomplete.
+
+    Flows without trucks by reason, the day's trucks without a zone at an end, and
+    those without a start hour.
+    """
+    study = prepare_flows(
+        flows,
+        target_year,
+        internal_regions=internal_regions,
+        outer_regions=outer_regions,
+    )
+    annual = annual_truckloads(study, factors, load_consolidation_factor)
+    trucks = stored_once(sample_daily_trucks(annual, seed=seed), "trucks")
+    ended = sample_tripends(
+        trucks,
+        stored_once(zonal_attractions, "attractions"),
+        equivalencies,
+        included_attractions,
+        phantom_zones,
+        makeuse_coefficients,
+        keys=TRUCK_KEYS,
+        seed=seed,
+    )
+    untimed = F.broadcast(temporal_gaps(trucks, distributions))
+    return together(
+        [
+            counted("truckloads", F.col("reason"), rejected_flows(study, factors)),
+            counted("trip ends", "no zone in region", missing_tripends(ended)),
+            counted(
+                "hours",
+                "no hourly distribution",
+                trucks.join(untimed, "vehicle_type", "left_semi"),
+            ),
+        ]
+    )

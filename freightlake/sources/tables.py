@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -92,18 +91,12 @@ def file_attributes(df: DataFrame) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder all executors reach, as set by ``spark.checkpoint.dir``.
-
-    Only a session without that setting, as in tests, gets a folder of its own.
-    """
+    """Folder all executors reach, as set by ``spark.checkpoint.dir``."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named is None:
         named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if named is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ModelInputError("set spark.checkpoint.dir to a shared folder")
-        named = tempfile.mkdtemp(prefix="freightlake-")
-        spark.conf.set("spark.checkpoint.dir", named)
+        raise ModelInputError("set spark.checkpoint.dir to a shared folder")
     return named
 
 

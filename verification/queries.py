@@ -963,3 +963,80 @@ def local_trip_matrices(spark, d):
         given.length_targets(spark, d),
         given.temporal_shares(spark),
     )
+
+
+_DAILY_PLACED = f"""(
+    SELECT t.*, CASE WHEN t.dms_orig IN {sql.INTERNAL} THEN o.choice ELSE so.STDM_TAZ END AS origin,
+      CASE WHEN t.dms_dest IN {sql.INTERNAL} THEN d.choice ELSE sd.STDM_TAZ END AS destination
+    FROM (SELECT *, {sql.uniform("origin", *_KEYS)} AS uo,
+        {sql.uniform("destination", *_KEYS)} AS ud FROM ({_DAILY_ANNUAL})) t
+    LEFT JOIN single_zones so ON t.dms_orig = so.faf_region
+    LEFT JOIN single_zones sd ON t.dms_dest = sd.faf_region
+    LEFT JOIN combi_stretches o ON t.uo >= o.lo AND t.uo < o.hi
+    LEFT JOIN combi_stretches d ON t.ud >= d.lo AND t.ud < d.hi)"""
+
+
+@query("allocated_matrices", sql.matrices(f"({sql.timed(_DAILY_PLACED, *_KEYS)})"))
+def _(spark, d):
+    """The day's trucks by zone, ends inside drawn from all zones."""
+    return long_distance.allocated_matrices(
+        given.raw_flows(spark, d),
+        given.TARGET_YEAR,
+        given.factors(spark),
+        given.attractions_wide(spark, d),
+        given.single_zones(spark, d),
+        given.temporal_shares(spark),
+        given.INTERNAL_REGIONS,
+    )
+
+
+@query(
+    "long_distance_rejects",
+    f"""
+    SELECT 'truckloads' AS stage, reason, count(*) AS rows FROM (SELECT CASE
+        WHEN exp_tons IS NULL THEN 'no tons' WHEN wgt_dist IS NULL THEN 'no distance'
+        WHEN minimum_range IS NULL THEN 'distance outside all bands'
+        ELSE 'no factors for commodity' END AS reason
+      FROM banded WHERE flow_id NOT IN (SELECT flow_id FROM cells)) GROUP BY reason
+    UNION ALL SELECT 'trip ends', 'no zone in region', count(*)
+      FROM ({_DAILY_ANNUAL}) WHERE dms_dest = 125
+    UNION ALL SELECT 'hours', 'no hourly distribution', count(*)
+      FROM ({_DAILY_ANNUAL}) WHERE vehicle_type = 'TPT'
+    """,
+)
+def _(spark, d):
+    """Without zones of region 125 and hours of the last vehicle type."""
+    return long_distance.rejects(
+        given.raw_flows(spark, d),
+        given.TARGET_YEAR,
+        given.factors(spark),
+        given.attractions_long(spark, d),
+        given.zones(spark, d),
+        given.temporal_shares(spark).filter("vehicle_type <> 'TPT'"),
+        included_attractions=COMBINATION,
+        makeuse_coefficients=given.make_use(spark, d),
+    )
+
+
+@query(
+    "local_rejects",
+    f"""
+    SELECT 'generation' AS stage, 'firm without an id' AS reason,
+      count(*) FILTER (pfirmID IS NULL) AS rows FROM firms
+    UNION ALL SELECT 'generation', 'no rates for sector',
+      count(*) FILTER (sector NOT IN (SELECT sector FROM rates)) FROM firms
+    UNION ALL SELECT 'destinations', 'no share within reach', count(*)
+      FROM ({sql.destinations('local_trips', 'reach', 'reach_stretches')})
+      WHERE destination IS NULL
+    UNION ALL SELECT 'hours', 'no hourly distribution', count(*)
+      FROM local_trips WHERE vehicle_type = 'TPT'
+    """,
+)
+def _(spark, d):
+    return local_trips.rejects(
+        given.firms(spark, d),
+        given.rates(spark),
+        given.skims(spark, d),
+        given.length_targets(spark, d),
+        given.temporal_shares(spark).filter("vehicle_type <> 'TPT'"),
+    )
