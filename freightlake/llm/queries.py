@@ -56,7 +56,7 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    coded = bpe.decode(bpe.encode(common.documents(spark, sf_dir)))
+    coded = bpe.encode_and_decode(common.documents(spark, sf_dir))
     listed = F.concat_ws(",", F.col("ids").cast("array<string>"))
     return coded.select(
         "doc_id",

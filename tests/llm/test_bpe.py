@@ -49,6 +49,13 @@ def test_any_texts(texts):
     assert own.decode(got) == [t.encode() for t in texts]
 
 
+def test_cache_that_is_too_small(monkeypatch):
+    monkeypatch.setattr(bpe, "GENERATION", 3)
+    own = bpe.Codec(bpe.RANKS, bpe.PATTERN)
+    for text in [*HARD, "some words, some more words", *HARD]:
+        assert own.encode([text, "words some"])[0].tolist() == LIBRARY.encode_ordinary(text)
+
+
 def test_frames(make, spark, sf_dir):
     some = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(60).collect()
     rows = [(r.doc_id, r.text) for r in some] + [(i, t) for i, t in enumerate(HARD)]
@@ -60,6 +67,9 @@ def test_frames(make, spark, sf_dir):
     key = lambda r: (r[0] is None, r[0] or 0, r[1])
     found = [(r.doc_id, r.ids, bytes(r.decoded)) for r in got]
     assert sorted(found, key=key) == sorted(want, key=key)
+    together = bpe.encode_and_decode(frame).collect()
+    assert sorted((r.ids for r in together)) == sorted(r.ids for r in got)
+    assert {bytes(r.decoded) for r in together} == {bytes(r.decoded) for r in got}
     empty = bpe.decode(bpe.encode(frame.limit(0)))
     assert empty.columns == ["doc_id", "ids", "decoded"] and empty.count() == 0
     odd = make([(1, None), (2, [5, 999_999])], "doc_id long, ids array<int>")
