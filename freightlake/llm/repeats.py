@@ -29,6 +29,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -42,7 +43,7 @@ GRAM = 32
 # Bytes of text that anchors are looked for in at a time, bytes of a token, the
 # neighbours on either side that a suffix is compared with, and the rows that are
 # sampled for each splitter.
-BLOCK = 1 << 19
+BLOCK = 1 << 18
 TOKEN = 8
 REACH = 8
 SAMPLED = 20
@@ -201,7 +202,11 @@ def common_prefix(left: bytes, right: bytes) -> int:
 
 
 def compare_neighbours(
-    rows: list[tuple], before: tuple | None, after: tuple | None, length: int
+    rows: list[tuple],
+    before: tuple | None,
+    after: tuple | None,
+    length: int,
+    reach: int = REACH,
 ) -> Iterator[tuple[int, list[tuple[int, int]]]]:
     """For each of some sorted rows, what its neighbours tell.
 
@@ -219,8 +224,8 @@ def compare_neighbours(
         bound, found = -1, []
         for step in (-1, 1):
             agreed = len(own[1])
-            for reach in range(1, REACH + 2):
-                place = at + step * reach
+            for far in range(1, reach + 2):
+                place = at + step * far
                 other = around[place] if 0 <= place < len(around) else None
                 beyond = not 0 <= place < len(around)
                 if beyond:
@@ -232,7 +237,7 @@ def compare_neighbours(
                 agreed = min(agreed, common_prefix(own[1], other[1]))
                 if agreed < needed:
                     break
-                if reach > REACH:
+                if far > reach:
                     bound = max(bound, agreed)
                     break
                 side = common_prefix(own[2], other[2])
@@ -272,21 +277,26 @@ def _anchor_frame(texts: DataFrame, shape: Shape) -> DataFrame:
 def _segment_frame(wanted: DataFrame, length: int) -> DataFrame:
     """``core, segment, left, right``: bytes before the anchor, backwards, and from it on."""
 
+    def sides(text: bytes, members: list[dict]) -> list[tuple]:
+        return [
+            (
+                m["core"],
+                m["segment"],
+                text[m["low"] : m["place"]][::-1],
+                text[m["place"] : m["high"] + length],
+            )
+            for m in members
+        ]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            raw = common.byte_column(batch, "text")
-            for at, members in enumerate(batch.column("members").to_pylist()):
-                text = raw[at]
-                rows = [
-                    (
-                        m["core"],
-                        m["segment"],
-                        text[m["low"] : m["place"]][::-1],
-                        text[m["place"] : m["high"] + length],
-                    )
-                    for m in members
-                ]
-                core, segment, left, right = zip(*rows)
+            sizes = pc.binary_length(batch.column("text")).to_pylist()
+            for first, last in common.chunks(sizes, 4 * BLOCK):
+                part = batch.slice(first, last - first)
+                raw = common.byte_column(part, "text")
+                listed = part.column("members").to_pylist()
+                rows = [r for t, own in zip(raw, listed) for r in sides(t, own)]
+                core, segment, left, right = zip(*rows) if rows else ((), (), (), ())
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(core, pa.int64()),
@@ -306,6 +316,7 @@ def _neighbour_frame(segments: DataFrame, first: str, second: str, length: int)
     """``core, segment, bound, agreed``: each segment against its neighbours in order."""
     spark = segments.sparkSession
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    reach = REACH
     ordered = segments.select("core", F.col(first).alias("a"), F.col(second).alias("b"), "segment")
     count = ordered.count()
     share = min(1.0, SAMPLED * buckets / max(count, 1))
@@ -359,7 +370,7 @@ def _neighbour_frame(segments: DataFrame, first: str, second: str, length: int)
         sorted_rows += [r for *_, r in multikey_quicksort(run, 1)]
         bucket = key[0].as_py() if hasattr(key[0], "as_py") else key[0]
         before, after = shared.value[bucket]
-        told = list(compare_neighbours(sorted_rows, before, after, length))
+        told = list(compare_neighbours(sorted_rows, before, after, length, reach))
         kind = pa.list_(pa.struct([("first", pa.int32()), ("second", pa.int32())]))
         agreed = [[{"first": a, "second": b} for a, b in found] for _, found in told]
         return pa.table(
@@ -377,30 +388,48 @@ def _neighbour_frame(segments: DataFrame, first: str, second: str, length: int)
     )
 
 
-def _settled(forward: DataFrame, backward: DataFrame, segments: DataFrame, length: int) -> DataFrame:
-    """``core, segment, near, open``: distances of repeated windows, and of open ones.
+def _settled(forward: DataFrame, backward: DataFrame, length: int) -> DataFrame:
+    """``core, segment, near, open_low, open_high``: distances of repeated windows.
 
-    ``near`` is a list of ranges that neighbours have shown; ``open_low`` and
-    ``open_high`` bound what may still match a suffix further off.
+    ``near`` is a list of ranges that neighbours have shown. What may still match a
+    suffix further off is at most the distances that both bounds allow; those that
+    ``near`` covers from either end are settled, and ``open_low`` to ``open_high``
+    is what remains.
     """
-    joined = (
-        forward.select("core", "segment", F.col("bound").alias("right_bound"), F.col("agreed").alias("f"))
-        .join(
-            backward.select("core", "segment", F.col("bound").alias("left_bound"), F.col("agreed").alias("g")),
-            ["core", "segment"],
+    key = ["core", "segment"]
+    joined = forward.select(
+        *key, F.col("bound").alias("right_bound"), F.col("agreed").alias("f")
+    ).join(
+        backward.select(*key, F.col("bound").alias("left_bound"), F.col("agreed").alias("g")),
+        key,
+    )
+
+    def shown(found: str, right: str, left: str) -> Column:
+        return F.transform(
+            found,
+            lambda a: F.struct((F.lit(length) - a[right]).alias("x"), a[left].alias("y")),
         )
+
+    ranges = F.concat(shown("f", "first", "second"), shown("g", "second", "first"))
+    upward = F.array_sort("near")
+    downward = F.reverse(
+        F.array_sort(F.transform("near", lambda r: F.struct(r["y"].alias("y"), r["x"].alias("x"))))
     )
-    ranges = F.concat(
-        F.transform("f", lambda x: F.struct((F.lit(length) - x["first"]).alias("x"), x["second"].alias("y"))),
-        F.transform("g", lambda x: F.struct((F.lit(length) - x["second"]).alias("x"), x["first"].alias("y"))),
+    low = F.aggregate(
+        upward,
+        F.lit(length) - F.col("right_bound"),
+        lambda at, r: F.when(r["x"] <= at, F.greatest(at, r["y"] + 1)).otherwise(at),
+    )
+    high = F.aggregate(
+        downward,
+        F.col("left_bound"),
+        lambda at, r: F.when(r["y"] >= at, F.least(at, r["x"] - 1)).otherwise(at),
+    )
+    return (
+        joined.select(*key, "left_bound", "right_bound", ranges.alias("near"))
+        .select(*key, "near", low.alias("open_low"), high.alias("open_high"))
+        .where((F.size("near") > 0) | (F.col("open_low") <= F.col("open_high")))
     )
-    return joined.select(
-        "core",
-        "segment",
-        ranges.alias("near"),
-        (F.lit(length) - F.col("right_bound")).alias("open_low"),
-        F.col("left_bound").alias("open_high"),
-    ).where((F.size("near") > 0) | (F.col("open_low") <= F.col("open_high")))
 
 
 def _open_windows(settled: DataFrame, segments: DataFrame, length: int) -> DataFrame:
@@ -492,10 +521,13 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH) -> DataFrame:
         (F.col("one.place") - F.col("one.high")).cast("int").alias("x"),
         (F.col("one.place") - F.col("one.low")).cast("int").alias("y"),
     )
-    mixed = (
+    # Stored, so that the join that follows can split a core of many segments.
+    mixed = common.stored_once(
         by_segment.groupBy("core")
         .agg(F.min("segment").alias("lowest"), F.max("segment").alias("highest"))
         .where("lowest <> highest")
+        .select("core"),
+        "mixed",
     )
     members = (
         by_segment.join(mixed, "core", "left_semi")
@@ -512,7 +544,7 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     )
     forward = _neighbour_frame(segments, "right", "left", length)
     backward = _neighbour_frame(segments, "left", "right", length)
-    settled = common.stored_once(_settled(forward, backward, segments, length), "settled")
+    settled = common.stored_once(_settled(forward, backward, length), "settled")
     ranges = (
         settled.select("core", "segment", F.explode("near").alias("range"))
         .select("core", "segment", "range.x", "range.y")
@@ -544,6 +576,31 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
+def _kept(batch: pa.RecordBatch, as_text: bool) -> pa.RecordBatch:
+    """What remains of some texts (``doc_id, text, spans``) without their spans."""
+    raw = common.byte_column(batch, "text")
+    listed = [
+        merged([(s["start"], s["end"]) for s in own])
+        for own in batch.column("spans").to_pylist()
+    ]
+    kept = []
+    for value, own in zip(raw, listed):
+        edges = [0, *(e for span in own for e in span), len(value)]
+        kept.append(b"".join(value[a:b] for a, b in zip(edges[::2], edges[1::2])))
+    if as_text:
+        kept = [k.decode("utf-8", "ignore") for k in kept]
+    structs = [[{"start": a, "end": b} for a, b in own] for own in listed]
+    return pa.RecordBatch.from_arrays(
+        [
+            batch.column("doc_id"),
+            pa.array(list(map(len, raw)), pa.int64()),
+            pa.array(structs, batch.column("spans").type),
+            pa.array(kept, pa.string() if as_text else pa.binary()),
+        ],
+        ["doc_id", "n_bytes", "spans", "kept"],
+    )
+
+
 def remove_repeats(
     documents: DataFrame,
     doc_id: str = "doc_id",
@@ -581,27 +638,9 @@ def remove_repeats(
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            raw = common.byte_column(batch, "text")
-            listed = [
-                merged([(s["start"], s["end"]) for s in own])
-                for own in batch.column("spans").to_pylist()
-            ]
-            kept = []
-            for value, own in zip(raw, listed):
-                edges = [0, *(e for span in own for e in span), len(value)]
-                kept.append(b"".join(value[a:b] for a, b in zip(edges[::2], edges[1::2])))
-            if as_text:
-                kept = [k.decode("utf-8", "ignore") for k in kept]
-            structs = [[{"start": a, "end": b} for a, b in own] for own in listed]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    pa.array(list(map(len, raw)), pa.int64()),
-                    pa.array(structs, batch.column("spans").type),
-                    pa.array(kept, pa.string() if as_text else pa.binary()),
-                ],
-                ["doc_id", "n_bytes", "spans", "kept"],
-            )
+            sizes = pc.binary_length(batch.column("text")).to_pylist()
+            for first, last in common.chunks(sizes, 4 * BLOCK):
+                yield _kept(batch.slice(first, last - first), as_text)
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     removed = common.map_arrow(

@@ -114,10 +114,9 @@ def test_common_prefix(head, a, b):
     assert repeats.common_prefix(left, right) == want
 
 
-def test_neighbours_bound_what_they_did_not_see(monkeypatch):
-    monkeypatch.setattr(repeats, "REACH", 1)
+def test_neighbours_bound_what_they_did_not_see():
     rows = sorted((1, bytes(DRAWS.choices(b"ab", k=6)), bytes(DRAWS.choices(b"ab", k=6))) for _ in range(40))
-    told = list(repeats.compare_neighbours(rows[5:20], rows[4], rows[20], 8))
+    told = list(repeats.compare_neighbours(rows[5:20], rows[4], rows[20], 8, 1))
     for own, (bound, found) in zip(rows[5:20], told):
         pairs = {
             (repeats.common_prefix(own[1], o[1]), repeats.common_prefix(own[2], o[2]))
@@ -136,3 +135,16 @@ def test_nothing_and_few(make):
     with pytest.raises(ValueError):
         repeats.Shape(7)
     assert np.array_equal(repeats.anchors([], repeats.Shape(8))[0], np.empty(0))
+
+
+@pytest.mark.parametrize("reach", [1, 2])
+def test_windows_that_neighbours_leave_open(make, monkeypatch, reach):
+    """Few neighbours, many partners: the hash comparison has to find the rest."""
+    monkeypatch.setattr(repeats, "REACH", reach)
+    left, right = words(12), words(12)
+    texts = []
+    for a in range(0, len(left), 9):
+        for b in range(0, len(right), 11):
+            texts.append(f"{a}L{b}" + left[a:] + "|" + right[:b] + f"R{a}.{b}")
+    DRAWS.shuffle(texts)
+    assert_same(make, texts, 24)
