@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,11 +24,15 @@ __all__ = [
     "documents",
     "map_arrow",
     "shared_folder",
+    "slices",
     "stored_once",
     "table",
     "text_column",
 ]
 
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+DEFAULT_BATCH, TEXT_BATCH = "67108864b", "4194304b"
+
 ROOT = str(Path(__file__).resolve().parents[2])
 
 
@@ -52,8 +57,13 @@ def map_arrow(
     """``mapInArrow`` whose workers find this package.
 
     A session started elsewhere does not hand its import path to the Python
-    workers; on a cluster the package is sent with ``--py-files`` as usual.
+    workers; on a cluster the package is sent with ``--py-files`` as usual. Where
+    the session leaves the size of Arrow batches at its default, it is made
+    smaller, as each batch of texts is held several times on its way.
     """
+    conf = df.sparkSession.conf
+    if conf.get(BATCH_BYTES) == DEFAULT_BATCH:
+        conf.set(BATCH_BYTES, TEXT_BATCH)
     environment = df.sparkSession.sparkContext.environment
     paths = environment.get("PYTHONPATH", "")
     if ROOT not in re.split(os.pathsep, paths):
@@ -77,6 +87,13 @@ def byte_column(batch: pa.RecordBatch, name: str) -> list[bytes]:
     return batch.column(name).cast(pa.binary()).to_pylist()
 
 
+def slices(batch: pa.RecordBatch, text: str, most: int) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch whose texts have about ``most`` bytes together."""
+    sizes = pc.binary_length(batch.column(text)).fill_null(0).to_pylist()
+    for first, last in chunks(sizes, most):
+        yield batch.slice(first, last - first)
+
+
 def chunks(sizes: Iterable[int], most: int) -> Iterator[tuple[int, int]]:
     """Ranges of neighbouring rows that hold about ``most`` units together.
 

@@ -70,6 +70,9 @@ TEMPLATES = {
     "proprietary": ["All rights reserved"],
 }
 
+# Bytes of text that a worker takes at a time.
+CHUNK = 2_000_000
+
 _WORD = re.compile("[A-Za-z0-9]+")
 
 
@@ -266,7 +269,7 @@ def scan(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = templates_of(listed, coverage)
-        for batch in batches:
+        for batch in (p for b in batches for p in common.slices(b, "text", CHUNK)):
             at, out = [], []
             for index, value in enumerate(common.text_column(batch, "text")):
                 for statement in find(value, own, density):

@@ -77,7 +77,7 @@ def fingerprints(
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (p for b in batches for p in common.slices(b, "text", CHUNK)):
             raw = common.byte_column(batch, "text")
             bits = [simhash(shingle_hashes(t.lower(), width, seed)) for t in raw]
             signed = np.array(bits, np.uint64).astype(np.int64)

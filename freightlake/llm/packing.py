@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from freightlake.llm import common
-from freightlake.llm.token_counts import WORD_BPE, split_words, word_ids
+from freightlake.llm.token_counts import CHUNK, WORD_BPE, split_words, word_ids
 
 SEQUENCE = 4096
 END_OF_TEXT = 1
@@ -60,32 +60,30 @@ def tokenized_pieces(
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = word_ids(tokenizer)
-        for batch in batches:
-            texts = common.text_column(batch, "text")
-            for first, last in common.chunks(map(len, texts), 4_000_000):
-                split = [split_words(t) for t in texts[first:last]]
-                words.learn(set(chain.from_iterable(split)))
-                of = words.known.__getitem__
-                rows_of, out = [], []
-                for at, own in enumerate(split, first):
-                    ids = b"".join([*map(of, own), end])
-                    for piece, start in enumerate(range(0, len(ids) // 4, length)):
-                        part = ids[4 * start : 4 * (start + length)]
-                        rows_of.append(at)
-                        out.append((piece, start, len(part) // 4, zlib.crc32(part), part))
-                piece, start, size, crc, ids = zip(*out, strict=True)
-                columns = [
-                    batch.column("doc_id").take(pa.array(rows_of)),
-                    pa.array(piece, pa.int32()),
-                    pa.array(start, pa.int64()),
-                    pa.array(size, pa.int64()),
-                    pa.array(crc, pa.int64()),
-                ]
-                names = list(PIECE_COLUMNS)
-                if with_ids:
-                    columns.append(pa.array([np.frombuffer(p, "<i4") for p in ids]))
-                    names.append("ids")
-                yield pa.RecordBatch.from_arrays(columns, names)
+        for part in (p for b in batches for p in common.slices(b, "text", CHUNK)):
+            split = [split_words(t) for t in common.text_column(part, "text")]
+            words.learn(set(chain.from_iterable(split)))
+            of = words.known.__getitem__
+            rows_of, out = [], []
+            for at, own in enumerate(split):
+                raw = b"".join([*map(of, own), end])
+                for piece, start in enumerate(range(0, len(raw) // 4, length)):
+                    ids = raw[4 * start : 4 * (start + length)]
+                    rows_of.append(at)
+                    out.append((piece, start, len(ids) // 4, zlib.crc32(ids), ids))
+            piece, start, size, crc, ids = zip(*out, strict=True)
+            columns = [
+                part.column("doc_id").take(pa.array(rows_of)),
+                pa.array(piece, pa.int32()),
+                pa.array(start, pa.int64()),
+                pa.array(size, pa.int64()),
+                pa.array(crc, pa.int64()),
+            ]
+            names = list(PIECE_COLUMNS)
+            if with_ids:
+                columns.append(pa.array([np.frombuffer(p, "<i4") for p in ids]))
+                names.append("ids")
+            yield pa.RecordBatch.from_arrays(columns, names)
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long"

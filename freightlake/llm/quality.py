@@ -29,8 +29,8 @@ SAMPLE = 4_000
 SAMPLE_CHARACTERS = 100_000
 SEED_STEPS, CHAIN_STEPS = 150, 150
 
-# Characters of text that a worker takes at a time.
-CHUNK = 4_000_000
+# Bytes of text that a worker takes at a time.
+CHUNK = 2_000_000
 
 _UPPER = bytes(range(65, 91))
 _LOWER = bytes(range(97, 123))
@@ -341,17 +341,12 @@ def classify(
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            raw = common.byte_column(batch, "text")
-            parts = [
-                model.value.score(read_lines(raw[first:last]))
-                for first, last in common.chunks(map(len, raw), CHUNK)
-            ]
-            score = np.concatenate([np.empty(0), *parts])
+        for part in (p for b in batches for p in common.slices(b, "text", CHUNK)):
+            score = model.value.score(read_lines(common.byte_column(part, "text")))
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id"),
-                    batch.column("held_out"),
+                    part.column("doc_id"),
+                    part.column("held_out"),
                     pa.array(score),
                     pa.array((score >= threshold).astype(np.int32)),
                 ],
@@ -388,12 +383,8 @@ def keep_good(
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            raw = [t or b"" for t in common.byte_column(batch, text)]
-            parts = [
-                model.value.score(read_lines(raw[first:last]))
-                for first, last in common.chunks(map(len, raw), CHUNK)
-            ]
-            yield batch.filter(pa.array(np.concatenate([np.empty(0), *parts]) >= threshold))
+        for part in (p for b in batches for p in common.slices(b, text, CHUNK)):
+            raw = [t or b"" for t in common.byte_column(part, text)]
+            yield part.filter(pa.array(model.value.score(read_lines(raw)) >= threshold))
 
     return common.map_arrow(documents, run, documents.schema)

@@ -28,11 +28,11 @@ TRUSTED = 20_000
 
 # Strength of the smoothing in n-grams, and the least score that is kept.
 PRIOR = 65_536.0
-THRESHOLD = -0.05
+THRESHOLD = -0.08
 
-# Words whose hashes a worker keeps, and words it works on at a time.
-CACHE_WORDS = 500_000
-CHUNK_WORDS = 1_000_000
+# Words whose hashes a worker keeps, and bytes of text it takes at a time.
+CACHE_WORDS = 200_000
+CHUNK = 2_000_000
 
 _SYMBOLS, _INNER = b"#*$%&|<>", bytes(range(0x80, 0xC0))
 
@@ -115,14 +115,13 @@ def log_ratios(
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros((2, buckets), np.int64)
-        for batch in batches:
-            trusted = np.array(batch.column("trusted").to_pylist(), bool)
-            raw = common.byte_column(batch, "text")
-            for first, last in common.chunks(map(len, raw), 6 * CHUNK_WORDS):
-                grams = Grams([t.split() for t in raw[first:last]], buckets)
-                sums[0] += np.bincount(grams.buckets, minlength=buckets)
-                chosen = grams.buckets[trusted[first:last][grams.of]]
-                sums[1] += np.bincount(chosen, minlength=buckets)
+        for part in (p for b in batches for p in common.slices(b, "text", CHUNK)):
+            trusted = np.array(part.column("trusted").to_pylist(), bool)
+            raw = common.byte_column(part, "text")
+            grams = Grams([t.split() for t in raw], buckets)
+            sums[0] += np.bincount(grams.buckets, minlength=buckets)
+            chosen = grams.buckets[trusted[grams.of]]
+            sums[1] += np.bincount(chosen, minlength=buckets)
         used = np.flatnonzero(sums[0])
         yield pa.RecordBatch.from_pydict(
             {"bucket": used, "raw": sums[0][used], "trusted": sums[1][used]}
@@ -189,15 +188,6 @@ def judge(raw: list[bytes], weights: np.ndarray, limits: Limits) -> dict[str, np
     }
 
 
-def _judged(raw: list[bytes], weights: np.ndarray, limits: Limits) -> dict[str, np.ndarray]:
-    # A word and the blank after it are two bytes at least.
-    parts = [
-        judge(raw[first:last], weights, limits)
-        for first, last in common.chunks(map(len, raw), 6 * CHUNK_WORDS)
-    ] or [judge([], weights, limits)]
-    return {name: np.concatenate([p[name] for p in parts]) for name in parts[0]}
-
-
 def _rows(documents: DataFrame, doc_id: str, text: str) -> DataFrame:
     return common.blank(
         documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")),
@@ -229,10 +219,10 @@ def apply_rules(
     shared = documents.sparkSession.sparkContext.broadcast(ratios)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = _judged(common.byte_column(batch, "text"), shared.value, limits)
+        for part in (p for b in batches for p in common.slices(b, "text", CHUNK)):
+            found = judge(common.byte_column(part, "text"), shared.value, limits)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), *map(pa.array, found.values())],
+                [part.column("doc_id"), *map(pa.array, found.values())],
                 ["doc_id", *found],
             )
 
@@ -262,8 +252,8 @@ def keep_passing(
     shared = documents.sparkSession.sparkContext.broadcast(ratios)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            raw = [t or b"" for t in common.byte_column(batch, text)]
-            yield batch.filter(pa.array(_judged(raw, shared.value, limits)["kept"]))
+        for part in (p for b in batches for p in common.slices(b, text, CHUNK)):
+            raw = [t or b"" for t in common.byte_column(part, text)]
+            yield part.filter(pa.array(judge(raw, shared.value, limits)["kept"]))
 
     return common.map_arrow(documents, run, documents.schema)

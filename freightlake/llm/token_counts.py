@@ -37,7 +37,10 @@ SUMMARY_WORDS = 200_000
 SUMMARY_KEPT = 8_192
 
 # Words in a worker's cache before it starts anew.
-CACHE_WORDS = 1_500_000
+CACHE_WORDS = 400_000
+
+# Bytes of text that a worker takes at a time.
+CHUNK = 2_000_000
 
 
 def split_words(text: str) -> list[str]:
@@ -165,10 +168,11 @@ def frequent_words(df: DataFrame, text: str, most: int = TABLE_WORDS) -> list[st
     def summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: Counter = Counter()
         for batch in batches:
-            for value in common.text_column(batch, text):
-                held.update(split_words(value))
-                if len(held) > SUMMARY_WORDS:
-                    held = Counter(dict(held.most_common(SUMMARY_KEPT)))
+            for part in common.slices(batch, text, CHUNK):
+                for value in common.text_column(part, text):
+                    held.update(split_words(value))
+                    if len(held) > SUMMARY_WORDS:
+                        held = Counter(dict(held.most_common(SUMMARY_KEPT)))
         held.pop("", None)
         rows = [
             (word, n)
@@ -222,18 +226,15 @@ def count_tokens(
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lookup = _length_table(tokenizer, packed.value)
-        for batch in batches:
-            tokens: list[int] = []
-            texts = common.text_column(batch, "text")
-            for start, end in common.chunks(map(len, texts), 4_000_000):
-                split = [split_words(t) for t in texts[start:end]]
-                lookup.learn(set(chain.from_iterable(split)))
-                of = lookup.known.__getitem__
-                tokens += [sum(map(of, words)) for words in split]
-            sizes = pc.binary_length(batch.column("text").cast(pa.binary()))
+        for part in (p for b in batches for p in common.slices(b, "text", CHUNK)):
+            split = [split_words(t) for t in common.text_column(part, "text")]
+            lookup.learn(set(chain.from_iterable(split)))
+            of = lookup.known.__getitem__
+            tokens = [sum(map(of, words)) for words in split]
+            sizes = pc.binary_length(part.column("text"))
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id"),
+                    part.column("doc_id"),
                     sizes.cast(pa.int64()),
                     pa.array(tokens, pa.int64()),
                     pa.array([n > limit for n in tokens], pa.bool_()),
