@@ -21,10 +21,10 @@ from pyspark.sql import functions as F
 
 from freightlake.llm import common
 
-BUCKETS = 1 << 16
-
-# Trusted documents at most; the multinomial of the raw corpus is of all rows.
-TRUSTED = 20_000
+# Buckets: as many as there are pieces of ``PIECE`` bytes of text, as a power of
+# two from the least to the most. What the driver and each task hold grows with it.
+LEAST_BUCKETS, MOST_BUCKETS = 1 << 16, 1 << 22
+PIECE = 8192
 
 # Strength of the smoothing in n-grams, and the least score that is kept.
 PRIOR = 65_536.0
@@ -90,27 +90,29 @@ class Grams:
         return np.bincount(self.text[covered], minlength=len(out))
 
 
-def trusted_ids(labels: DataFrame, most: int = TRUSTED) -> DataFrame:
-    """Up to ``most`` ids whose labels all say quality 1, in order of a hash."""
+def buckets_for(size: int) -> int:
+    """Buckets for a corpus of ``size`` bytes: 65,536 up to 0.5 GB, 4,194,304 at 32 GB."""
+    wanted = 1 << max(0, -(-size // PIECE) - 1).bit_length()
+    return min(max(wanted, LEAST_BUCKETS), MOST_BUCKETS)
+
+
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    """All ids whose labels all say quality 1."""
     return (
         labels.where("doc_id IS NOT NULL AND quality IS NOT NULL")
         .groupBy("doc_id")
         .agg(F.min("quality").alias("least"))
         .where("least = 1")
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(most)
         .select("doc_id")
     )
 
 
-def log_ratios(
-    rows: DataFrame, buckets: int = BUCKETS, prior: float = PRIOR
-) -> np.ndarray:
+def log_ratios(rows: DataFrame, buckets: int, prior: float = PRIOR) -> np.ndarray:
     """Logarithm of trusted over raw probability for each bucket.
 
     ``rows`` has ``text`` and the flag ``trusted``. Tasks send sums for each
     bucket, so what is shuffled does not depend on the length of texts, and the
-    result is ``buckets`` numbers, however large the corpus.
+    result is ``buckets`` numbers.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -128,11 +130,11 @@ def log_ratios(
         )
 
     counted = common.map_arrow(rows, count, "bucket long, raw long, trusted long")
-    sums = counted.groupBy("bucket").agg(F.sum("raw"), F.sum("trusted")).collect()
+    sums = counted.groupBy("bucket").agg(F.sum("raw"), F.sum("trusted")).toArrow()
     raw, trusted = np.ones(buckets), np.zeros(buckets)
-    for bucket, n_raw, n_trusted in sums:
-        raw[bucket] += n_raw
-        trusted[bucket] += n_trusted
+    bucket, n_raw, n_trusted = (c.to_numpy() for c in sums.columns)
+    raw[bucket] += n_raw
+    trusted[bucket] += n_trusted
     raw /= raw.sum()
     return np.log((trusted + prior * raw) / (trusted.sum() + prior)) - np.log(raw)
 
@@ -149,13 +151,15 @@ class Limits:
 def learned_ratios(
     rows: DataFrame,
     labels: DataFrame,
-    buckets: int = BUCKETS,
+    buckets: int | None = None,
     prior: float = PRIOR,
-    most_trusted: int = TRUSTED,
 ) -> np.ndarray:
-    """Ratios from all of ``rows`` (``doc_id, text``) and the trusted among them."""
-    trusted = trusted_ids(labels, most_trusted).withColumn("trusted", F.lit(True))
-    flagged = rows.join(F.broadcast(trusted), "doc_id", "left").select(
+    """Ratios from all of ``rows`` (``doc_id, text``) and all the trusted among them."""
+    if buckets is None:
+        buckets = buckets_for(rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
+    trusted = trusted_ids(labels).withColumn("trusted", F.lit(True))
+    # Texts are not sorted for the join: a task holds its share of the ids.
+    flagged = rows.join(trusted.hint("shuffle_hash"), "doc_id", "left").select(
         "text", F.coalesce("trusted", F.lit(False)).alias("trusted")
     )
     return log_ratios(flagged, buckets, prior)
@@ -201,21 +205,21 @@ def apply_rules(
     doc_id: str = "doc_id",
     text: str = "text",
     limits: Limits = Limits(),
-    buckets: int = BUCKETS,
+    buckets: int | None = None,
     prior: float = PRIOR,
-    most_trusted: int = TRUSTED,
 ) -> DataFrame:
     """Counts, verdict and score of every document, a row for each row.
 
     Gives ``doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     base_failed, score, kept``. ``labels`` has ``doc_id`` and ``quality``; the
-    trusted documents are those with quality 1, ``most_trusted`` at most. A text
+    trusted documents are all those with quality 1. ``buckets`` follow the size of
+    the corpus unless they are given. A text
     without words, null ones included, scores 0 and fails the base rules. Without
     any trusted document all scores are 0, and the base rules alone decide. Rows
     of one id are each judged by their own text; other columns are left out.
     """
     rows = _rows(documents, doc_id, text)
-    ratios = learned_ratios(rows, labels, buckets, prior, most_trusted)
+    ratios = learned_ratios(rows, labels, buckets, prior)
     shared = documents.sparkSession.sparkContext.broadcast(ratios)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -242,13 +246,12 @@ def keep_passing(
     doc_id: str = "doc_id",
     text: str = "text",
     limits: Limits = Limits(),
-    buckets: int = BUCKETS,
+    buckets: int | None = None,
     prior: float = PRIOR,
-    most_trusted: int = TRUSTED,
 ) -> DataFrame:
     """All columns of the rows that ``apply_rules`` keeps, which stay where they are."""
     rows = _rows(documents, doc_id, text)
-    ratios = learned_ratios(rows, labels, buckets, prior, most_trusted)
+    ratios = learned_ratios(rows, labels, buckets, prior)
     shared = documents.sparkSession.sparkContext.broadcast(ratios)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -90,3 +90,25 @@ def test_junk_goes_and_clean_stays(spark, sf_dir):
     rows = judged.select("quality", "kept").collect()
     good = [r.kept for r in rows if r.quality == 1]
     assert sum(good) >= 0.98 * len(good)
+
+
+def test_trusted_side_counts_every_trusted_document(spark):
+    count = 20_600
+    rows = spark.range(count + 400).selectExpr(
+        "id AS doc_id", f"CASE WHEN id < {count} THEN 'good text' ELSE 'bad other' END AS text"
+    )
+    labels = spark.range(count).selectExpr("id AS doc_id", "1 AS quality")
+    got = rules.learned_ratios(rows, labels, buckets=64, prior=50.0)
+    raw, trusted = np.ones(64), np.zeros(64)
+    for b in grams("good text", 64):
+        raw[b] += count
+        trusted[b] += count
+    for b in grams("bad other", 64):
+        raw[b] += 400
+    raw /= raw.sum()
+    assert np.allclose(got, np.log((trusted + 50 * raw) / (trusted.sum() + 50) / raw))
+
+
+def test_buckets_follow_the_corpus():
+    sizes = [0, 1, 1 << 29, (1 << 29) + 1, 30 * 10**9, 10**13]
+    assert [rules.buckets_for(s) for s in sizes] == [1 << 16] * 3 + [1 << 17] + [1 << 22] * 2
