@@ -19,11 +19,15 @@ lie in its segment and contain its core, the bytes next to it.
    distances from length - r to l.
 3. Neighbours settle all but windows that would have to match a suffix further
    off in both orders; those few are compared by their hashes.
+
+Passages of a number of words, whatever their bytes, are found in the same way in
+texts whose words are coded by six bytes of their hash each.
 """
 
 from __future__ import annotations
 
 import bisect
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -48,6 +52,12 @@ TOKEN = 8
 REACH = 8
 SAMPLED = 20
 
+# Bytes that stand for a word where passages are measured in words.
+WORD_BYTES = 6
+CACHE_WORDS = 200_000
+
+_WORD = re.compile(rb"[^ \t\n\r\x0b\x0c]+")
+
 _PLACE_BITS = np.uint64(20)
 _PLACE_MASK = np.uint64((1 << 20) - 1)
 
@@ -565,6 +575,43 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     return spans.unionByName(entire).groupBy("key").agg(F.collect_set("span").alias("spans"))
 
 
+def word_codes(text: bytes, known: common.WordHashes) -> bytes:
+    """``WORD_BYTES`` bytes of the hash of each word, one after the other."""
+    hashed = np.fromiter(map(known.__getitem__, text.split()), "<u8")
+    return hashed.view(np.uint8).reshape(-1, 8)[:, :WORD_BYTES].tobytes()
+
+
+def _coded(texts: DataFrame, words: int) -> DataFrame:
+    """``key, text`` with the codes of all texts that have so many words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = common.WordHashes()
+        for part in (p for b in batches for p in common.slices(b, "text", 4 * BLOCK)):
+            if len(known) > CACHE_WORDS:
+                known.clear()
+            raw = [word_codes(t, known) for t in common.byte_column(part, "text")]
+            coded = pa.RecordBatch.from_arrays(
+                [part.column("key"), pa.array(raw, pa.binary())], ["key", "text"]
+            )
+            yield coded.filter(pa.array([len(c) >= WORD_BYTES * words for c in raw], pa.bool_()))
+
+    return common.map_arrow(texts, run, "key binary, text binary")
+
+
+def spans_of_words(text: bytes, coded: list[tuple[int, int]], words: int) -> list[tuple[int, int]]:
+    """Bytes of a text that spans of its codes stand for, whole words only.
+
+    A span of codes covers windows one byte apart, of which those count that
+    start with a word.
+    """
+    found = [(-(-a // WORD_BYTES), b // WORD_BYTES) for a, b in coded]
+    found = [(a, b) for a, b in found if b - a >= words]
+    if not found:
+        return []
+    places = [m.span() for m in _WORD.finditer(text)]
+    return [(places[a][0], places[b - 1][1]) for a, b in found]
+
+
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """Spans that overlap or touch as one, in order."""
     out: list[tuple[int, int]] = []
@@ -576,12 +623,16 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _kept(batch: pa.RecordBatch, as_text: bool) -> pa.RecordBatch:
-    """What remains of some texts (``doc_id, text, spans``) without their spans."""
+def _kept(batch: pa.RecordBatch, as_text: bool, words: int | None) -> pa.RecordBatch:
+    """What remains of some texts (``doc_id, text, spans, coded``) without their spans."""
     raw = common.byte_column(batch, "text")
+    spans, coded = (
+        [[(s["start"], s["end"]) for s in own] for own in batch.column(c).to_pylist()]
+        for c in ("spans", "coded")
+    )
     listed = [
-        merged([(s["start"], s["end"]) for s in own])
-        for own in batch.column("spans").to_pylist()
+        merged(own + (spans_of_words(t, more, words) if more else []))
+        for t, own, more in zip(raw, spans, coded)
     ]
     kept = []
     for value, own in zip(raw, listed):
@@ -607,12 +658,13 @@ def remove_repeats(
     text: str = "text",
     length: int = LENGTH,
     as_text: bool = False,
+    words: int | None = None,
 ) -> DataFrame:
     """``doc_id, n_bytes, spans, kept`` of every row.
 
     ``spans`` are the maximal runs of bytes covered by any string of ``length``
-    bytes that also starts elsewhere, in the same text or another one; ``kept``
-    is what remains, as binary, or as text without characters that were cut in
+    bytes that also starts elsewhere, in the same text or another one, or with
+    ``words`` by any so many words that do, whatever is between them; ``kept`` is what remains, as binary, or as text without characters that were cut in
     two. All places of a repeated string count, and all
     are judged on the input. A null text is empty. Repeated rows are repeats of
     each other like any other equal texts; other columns are left out.
@@ -621,9 +673,19 @@ def remove_repeats(
         documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")),
         "text",
     ).withColumn("key", _key(F.col("text")))
-    spans = common.stored_once(repeated_spans(rows.select("key", "text"), length), "spans")
-    marked = maybe_in(rows, "key", spans, "key", "likely")
+    texts = rows.select("key", "text")
     none = F.array().cast("array<struct<start: bigint, end: bigint>>")
+    spans = repeated_spans(texts, length)
+    if words is None:
+        spans = spans.withColumn("coded", none)
+    else:
+        coded = common.stored_once(_coded(texts, words), "coded")
+        in_words = repeated_spans(coded, WORD_BYTES * words)
+        spans = spans.join(in_words.withColumnRenamed("spans", "coded"), "key", "full").select(
+            "key", F.coalesce("spans", none).alias("spans"), F.coalesce("coded", none).alias("coded")
+        )
+    spans = common.stored_once(spans, "spans")
+    marked = maybe_in(rows, "key", spans, "key", "likely")
     plain = marked.where("NOT likely").select(
         "doc_id",
         F.octet_length("text").cast("long").alias("n_bytes"),
@@ -633,14 +695,19 @@ def remove_repeats(
     touched = (
         marked.where("likely")
         .join(spans, "key", "left")
-        .select("doc_id", "text", F.coalesce("spans", none).alias("spans"))
+        .select(
+            "doc_id",
+            "text",
+            F.coalesce("spans", none).alias("spans"),
+            F.coalesce("coded", none).alias("coded"),
+        )
     )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes = pc.binary_length(batch.column("text")).to_pylist()
             for first, last in common.chunks(sizes, 4 * BLOCK):
-                yield _kept(batch.slice(first, last - first), as_text)
+                yield _kept(batch.slice(first, last - first), as_text, words)
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     removed = common.map_arrow(
@@ -658,9 +725,12 @@ def without_repeats(
     text: str = "text",
     length: int = LENGTH,
     characters: str = "n_chars",
+    words: int | None = None,
 ) -> DataFrame:
     """All rows and columns, the text without its repeated spans.
 
+    Spans are of ``length`` bytes and, if given, of ``words`` words.
+
     A character that is cut in two goes as a whole. The column ``characters``, if
     there is one, follows the new length. A null text becomes an empty one.
     """
@@ -669,7 +739,7 @@ def without_repeats(
         F.struct(*[F.col(f"`{c}`") for c in others]).alias("others"),
         F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"),
     )
-    removed = remove_repeats(rows, "others", "text", length, as_text=True)
+    removed = remove_repeats(rows, "others", "text", length, as_text=True, words=words)
     columns = {c: F.col(f"doc_id.`{c}`") for c in others} | {text: F.col("kept")}
     if characters in columns and characters != text:
         kind = documents.schema[characters].dataType
