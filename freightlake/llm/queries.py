@@ -11,6 +11,7 @@ from freightlake.llm import (
     bpe,
     common,
     fingerprints,
+    hard_negatives,
     licenses,
     near_duplicates,
     packing,
@@ -79,6 +80,14 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.with_neighbours(common.documents(spark, sf_dir))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10)
+    rows = common.table(spark, sf_dir, "embeddings").withColumn(
+        "label", F.coalesce(moved, "label")
+    )
+    return hard_negatives.mine(hard_negatives.whole_vectors(rows))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -92,7 +101,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_quality_rules,
         op9_sharding,
         op10_fingerprints,
+        op13_hard_negatives,
     )
 }
 
-ORACLE: dict[str, str] = {"op9_sharding": sharding.PLACE_SQL}
+ORACLE: dict[str, str] = {
+    "op9_sharding": sharding.PLACE_SQL,
+    "op13_hard_negatives": hard_negatives.MINE_SQL,
+}
