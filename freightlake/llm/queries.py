@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from freightlake.llm import (
     bpe,
     common,
+    conversations,
     fingerprints,
     hard_negatives,
     licenses,
@@ -80,6 +81,11 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.with_neighbours(common.documents(spark, sf_dir))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = common.table(spark, sf_dir, "conversations")
+    return conversations.repair(conversations.damaged(rows))
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10)
     rows = common.table(spark, sf_dir, "embeddings").withColumn(
@@ -101,6 +107,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_quality_rules,
         op9_sharding,
         op10_fingerprints,
+        op11_conversation_repair,
         op13_hard_negatives,
     )
 }
