@@ -13,6 +13,7 @@ from freightlake.llm import (
     conversations,
     fingerprints,
     hard_negatives,
+    language_model,
     licenses,
     near_duplicates,
     packing,
@@ -86,6 +87,11 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.repair(conversations.damaged(rows))
 
 
+def op12_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 1
+    return language_model.score(common.documents(spark, sf_dir), held_out)
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10)
     rows = common.table(spark, sf_dir, "embeddings").withColumn(
@@ -108,6 +114,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_sharding,
         op10_fingerprints,
         op11_conversation_repair,
+        op12_language_model,
         op13_hard_negatives,
     )
 }
