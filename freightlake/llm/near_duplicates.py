@@ -10,18 +10,11 @@ distance to the parent, and follows from a node only the edges whose distance
 can still lead to a fingerprint within the radius. A shard passes on links
 that connect what it found, fewer than it has members; components follow from
 the links of all shards.
-
-``keep_one`` can ask for a Jaccard similarity of the sets of shingles in place of
-a radius, as texts that share four fifths of their shingles differ in up to some
-twenty bits, which no block of 64 bits survives. Candidates then agree in one of
-24 bands of four least hashes, which two sets of similarity 0.8 miss with a chance
-of 3 in a million, and each candidate is confirmed by its whole sets.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -37,12 +30,6 @@ RADIUS = 3
 SHINGLE = 3
 SEED = 42
 
-# Least hashes of a set: bands, and hashes in each. Up to ``ALL_PAIRS`` sets of a
-# band are all compared; of more, each with ``HUBS`` of them, drawn by hash, and
-# those that this leaves apart with all others.
-BANDS, IN_BAND = 24, 4
-ALL_PAIRS, HUBS = 32, 4
-
 # Bytes of text that a worker takes at a time.
 CHUNK = 2_000_000
 
@@ -210,141 +197,6 @@ def near_links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
     return common.map_arrow(together, run, "u long, v long")
 
 
-@lru_cache(maxsize=4)
-def _permutations(seed: int) -> tuple[np.ndarray, np.ndarray]:
-    draws = np.random.Generator(np.random.PCG64(seed))
-    flips = draws.integers(0, 1 << 64, (BANDS * IN_BAND, 1), np.uint64)
-    factors = draws.integers(0, 1 << 64, (BANDS * IN_BAND, 1), np.uint64)
-    return flips, factors | np.uint64(1)
-
-
-def bands(hashes: np.ndarray, seed: int = SEED) -> np.ndarray:
-    """One number for each band of least hashes; equal sets have equal ones."""
-    flips, factors = _permutations(seed)
-    least = np.full(BANDS * IN_BAND, np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(hashes), 2048):
-        mixed = (hashes[at : at + 2048] ^ flips) * factors
-        np.minimum(least, mixed.min(axis=1), out=least)
-    out = np.arange(BANDS, dtype=np.uint64)
-    for part in least.reshape(BANDS, IN_BAND).T:
-        out = (out ^ part) * np.uint64(0x9FB21C651E98DF25)
-        out ^= out >> np.uint64(29)
-    return out
-
-
-def _shingle_sets(rows: DataFrame, kind: str, width: int, seed: int, whole: bool) -> DataFrame:
-    """``doc_id, bits`` and ``bands``, or with ``whole`` all ``hashes``, of each text.
-
-    ``bits`` is a digest of the set of shingles, so equal sets have equal bits.
-    """
-    name = "hashes" if whole else "bands"
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (p for b in batches for p in common.slices(b, "text", CHUNK)):
-            raw = common.byte_column(batch, "text")
-            sets = [np.unique(shingle_hashes(t.lower(), width, seed)) for t in raw]
-            bits = [xxhash.xxh64_intdigest(s.tobytes(), seed) for s in sets]
-            lists = sets if whole else [bands(s, seed) for s in sets]
-            ends = np.cumsum([0, *map(len, lists)]).astype(np.int32)
-            flat = np.concatenate([_EMPTY, *lists]).astype(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    pa.array(np.array(bits, np.uint64).astype(np.int64)),
-                    pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
-                ],
-                ["doc_id", "bits", name],
-            )
-
-    return common.map_arrow(rows, run, f"doc_id {kind}, bits long, {name} array<bigint>")
-
-
-def candidates(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``u, v``: sets (``bits, bands``) that share a band; ``band, bits`` of crowds.
-
-    A crowd, a band of many sets, gives pairs with a few of them only. The few are
-    the same in all bands of a group of near copies.
-    """
-    members = common.stored_once(
-        classes.select("bits", F.explode("bands").alias("band")), "bands"
-    )
-    hubs = [
-        F.min(F.struct(F.xxhash64("bits", F.lit(i)).alias("order"), "bits")).alias(f"hub{i}")
-        for i in range(HUBS)
-    ]
-    crowds = members.groupBy("band").agg(F.count(F.lit(1)).alias("n"), *hubs).where("n > 1")
-    crowds = common.stored_once(
-        crowds.select("band", "n", F.array(*[f"hub{i}.bits" for i in range(HUBS)]).alias("hubs")),
-        "crowds",
-    )
-    few = common.stored_once(
-        members.join(crowds.where(F.col("n") <= ALL_PAIRS), "band", "left_semi"), "few"
-    )
-    pairs = few.select("band", F.col("bits").alias("u")).join(
-        few.select("band", F.col("bits").alias("v")), "band"
-    )
-    crowded = common.stored_once(
-        members.join(crowds.where(F.col("n") > ALL_PAIRS), "band"), "crowded_bands"
-    )
-    starred = crowded.select(
-        F.col("bits").alias("p"), F.explode(F.array_distinct("hubs")).alias("q")
-    )
-    starred = starred.where("p <> q").select(
-        F.least("p", "q").alias("u"), F.greatest("p", "q").alias("v")
-    )
-    found = pairs.where("u < v").select("u", "v").unionByName(starred).distinct()
-    return found, crowded.select("band", "bits")
-
-
-def _strays(crowded: DataFrame, links: DataFrame) -> DataFrame:
-    """``u, v``: pairs of crowds that ``links`` leave apart.
-
-    Those within the component that has most of a crowd need no comparison, so
-    there are few pairs where hubs have linked nearly all.
-    """
-    stars = connected_components(links)
-    placed = common.stored_once(
-        crowded.join(stars, crowded["bits"] == stars["u"], "left").select(
-            "band", "bits", F.coalesce("v", "bits").alias("root")
-        ),
-        "placed",
-    )
-    sizes = placed.groupBy("band", "root").agg(F.count(F.lit(1)).alias("n"))
-    homes = sizes.groupBy("band").agg(F.max(F.struct("n", "root")).alias("most"))
-    strays = common.stored_once(
-        placed.join(homes, "band").where("root <> most.root").select("band", "bits", "root"),
-        "strays",
-    )
-    one = strays.select("band", F.col("bits").alias("p"), F.col("root").alias("r"))
-    return (
-        one.join(placed, "band")
-        .where("r <> root")
-        .select(F.least("p", "bits").alias("u"), F.greatest("p", "bits").alias("v"))
-        .distinct()
-    )
-
-
-def alike(pairs: DataFrame, sets: DataFrame, likeness: float) -> DataFrame:
-    """The pairs ``u, v`` whose sets (``bits, hashes``) have the Jaccard similarity."""
-    both = pairs.join(
-        sets.select(F.col("bits").alias("u"), F.col("hashes").alias("left")), "u"
-    ).join(sets.select(F.col("bits").alias("v"), F.col("hashes").alias("right")), "v")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            near = []
-            for a, b in zip(batch.column("left"), batch.column("right")):
-                a, b = a.values.to_numpy(), b.values.to_numpy()
-                # A small set has not enough in common with a much larger one.
-                shared = 0
-                if min(len(a), len(b)) >= likeness * max(len(a), len(b)):
-                    shared = len(np.intersect1d(a, b, assume_unique=True))
-                near.append(shared >= likeness * (len(a) + len(b) - shared) - 1e-9)
-            yield batch.select(["u", "v"]).filter(pa.array(near, pa.bool_()))
-
-    return common.map_arrow(both.select("u", "v", "left", "right"), run, "u long, v long")
-
-
 def _components(classes: DataFrame, links: DataFrame) -> DataFrame:
     """``bits, root, least``: component of each fingerprint and its least ``first``."""
     stars = connected_components(links)
@@ -400,13 +252,11 @@ def keep_one(
     width: int = SHINGLE,
     seed: int = SEED,
     radius: int = RADIUS,
-    likeness: float | None = None,
 ) -> DataFrame:
     """All columns of one row of each component: that of the smallest id.
 
-    Rows are linked by fingerprints within ``radius`` bits or, if ``likeness`` is
-    given, by that Jaccard similarity of their sets of shingles. Texts without
-    words are then like each other and like nothing else.
+    Rows are linked by fingerprints within ``radius`` bits. Texts without words
+    have the fingerprint zero and are linked like any other.
 
     Of rows with that id the one with the least hash of its text stays, and of
     rows that are alike in both any one; null ids come last. Texts of documents
@@ -421,44 +271,10 @@ def keep_one(
     texts = rows.select(F.struct("_id", "_key").alias("who"), F.col(text).alias("words"))
     order = F.struct(F.col("doc_id._id").isNull().alias("last"), "doc_id._id", "doc_id._key")
     own = [F.min("who").alias("first"), F.count(F.lit(1)).alias("n")]
-    if likeness is None:
-        marked = fingerprints(texts, "who", "words", width, seed)
-        marked = common.stored_once(marked.select(order.alias("who"), "bits"), "fingerprints")
-        classes = common.stored_once(marked.groupBy("bits").agg(*own), "classes")
-        links = near_links(classes.select("bits"), radius)
-    else:
-        plain = common.blank(texts.select(F.col("who").alias("doc_id"), F.col("words").alias("text")), "text")
-        kind = plain.schema["doc_id"].dataType.simpleString()
-        marked = _shingle_sets(plain, kind, width, seed, whole=False)
-        marked = common.stored_once(marked.select(order.alias("who"), "bits", "bands"), "sets")
-        classes = marked.groupBy("bits").agg(*own, F.first("bands").alias("bands"))
-        classes = common.stored_once(classes, "classes")
-        pairs, crowded = candidates(classes)
-        pairs = common.stored_once(pairs, "candidates")
-        wanted = pairs.select(F.explode(F.array("u", "v")).alias("bits")).distinct()
-        wanted = common.stored_once(
-            classes.join(wanted, "bits", "left_semi").select(
-                "bits", "first._id", "first._key", F.xxhash64("first._id", "first._key").alias("_who")
-            ),
-            "wanted",
-        )
-        plain = plain.withColumn("_who", F.xxhash64("doc_id._id", "doc_id._key"))
-        held = maybe_in(plain, "_who", wanted, "_who", "_likely").where("_likely")
-        first = F.col("l.doc_id._id").eqNullSafe(F.col("r._id")) & (
-            F.col("l.doc_id._key") == F.col("r._key")
-        )
-        # The hash is compared too, as null ids alone give the join no key.
-        first &= F.col("l._who") == F.col("r._who")
-        held = held.alias("l").join(wanted.alias("r"), first, "left_semi")
-        sets = _shingle_sets(held.select("doc_id", "text"), kind, width, seed, whole=True)
-        sets = common.stored_once(
-            sets.select("bits", "hashes").dropDuplicates(["bits"]), "whole_sets"
-        )
-        links = common.stored_once(alike(pairs, sets, likeness), "alike")
-        if not crowded.isEmpty():
-            rest = alike(_strays(crowded, links), sets, likeness)
-            links = common.stored_once(links.unionByName(rest), "alike")
-        marked = marked.select("who", "bits")
+    marked = fingerprints(texts, "who", "words", width, seed)
+    marked = common.stored_once(marked.select(order.alias("who"), "bits"), "fingerprints")
+    classes = common.stored_once(marked.groupBy("bits").agg(*own), "classes")
+    links = near_links(classes.select("bits"), radius)
     named = common.stored_once(_components(classes.select("bits", "first"), links), "named")
     # Components of several rows, however these are spread over fingerprints.
     sizes = named.join(classes.select("bits", "n"), "bits").groupBy("root").agg(

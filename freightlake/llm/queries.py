@@ -40,13 +40,17 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    removed = repeats.remove_repeats(common.documents(spark, sf_dir))
+    documents = common.documents(spark, sf_dir)
+    # Bytes are removed by strings of 400 bytes alone; shorter passages of over 50
+    # words are told in a column of their own.
+    removed = repeats.remove_repeats(documents, words=51, cut_passages=False)
     return removed.select(
         "doc_id",
         "n_bytes",
         (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
         F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
+        F.size("passages").cast("long").alias("n_passages"),
     )
 
 

@@ -623,32 +623,36 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _kept(batch: pa.RecordBatch, as_text: bool, words: int | None) -> pa.RecordBatch:
+def _cut(value: bytes, spans: list[tuple[int, int]]) -> bytes:
+    edges = [0, *(e for span in spans for e in span), len(value)]
+    return b"".join(value[a:b] for a, b in zip(edges[::2], edges[1::2]))
+
+
+def _kept(batch: pa.RecordBatch, as_text: bool, words: int | None, both: bool) -> pa.RecordBatch:
     """What remains of some texts (``doc_id, text, spans, coded``) without their spans."""
     raw = common.byte_column(batch, "text")
     spans, coded = (
         [[(s["start"], s["end"]) for s in own] for own in batch.column(c).to_pylist()]
         for c in ("spans", "coded")
     )
-    listed = [
-        merged(own + (spans_of_words(t, more, words) if more else []))
-        for t, own, more in zip(raw, spans, coded)
-    ]
-    kept = []
-    for value, own in zip(raw, listed):
-        edges = [0, *(e for span in own for e in span), len(value)]
-        kept.append(b"".join(value[a:b] for a, b in zip(edges[::2], edges[1::2])))
+    passages = [merged(spans_of_words(t, own, words)) if own else [] for t, own in zip(raw, coded)]
+    spans = [merged(own) for own in spans]
+    gone = [merged(a + b) for a, b in zip(spans, passages)] if both else spans
+    kept = [_cut(value, own) for value, own in zip(raw, gone)]
     if as_text:
         kept = [k.decode("utf-8", "ignore") for k in kept]
-    structs = [[{"start": a, "end": b} for a, b in own] for own in listed]
+    structs = [
+        pa.array([[{"start": a, "end": b} for a, b in own] for own in found], batch.column("spans").type)
+        for found in (spans, passages)
+    ]
     return pa.RecordBatch.from_arrays(
         [
             batch.column("doc_id"),
             pa.array(list(map(len, raw)), pa.int64()),
-            pa.array(structs, batch.column("spans").type),
+            *structs,
             pa.array(kept, pa.string() if as_text else pa.binary()),
         ],
-        ["doc_id", "n_bytes", "spans", "kept"],
+        ["doc_id", "n_bytes", "spans", "passages", "kept"],
     )
 
 
@@ -656,16 +660,19 @@ def remove_repeats(
     documents: DataFrame,
     doc_id: str = "doc_id",
     text: str = "text",
-    length: int = LENGTH,
+    length: int | None = LENGTH,
     as_text: bool = False,
     words: int | None = None,
+    cut_passages: bool = True,
 ) -> DataFrame:
-    """``doc_id, n_bytes, spans, kept`` of every row.
+    """``doc_id, n_bytes, spans, passages, kept`` of every row.
 
     ``spans`` are the maximal runs of bytes covered by any string of ``length``
-    bytes that also starts elsewhere, in the same text or another one, or with
-    ``words`` by any so many words that do, whatever is between them; ``kept`` is what remains, as binary, or as text without characters that were cut in
-    two. All places of a repeated string count, and all
+    bytes that also starts elsewhere, in the same text or another one; ``passages``
+    the runs covered by any ``words`` words that do, whatever is between them. One
+    of the two may be left out. ``kept`` is what remains without spans, and without
+    passages unless ``cut_passages`` is false, as binary, or as text without
+    characters that were cut in two. All places of a repeated string count, and all
     are judged on the input. A null text is empty. Repeated rows are repeats of
     each other like any other equal texts; other columns are left out.
     """
@@ -675,21 +682,28 @@ def remove_repeats(
     ).withColumn("key", _key(F.col("text")))
     texts = rows.select("key", "text")
     none = F.array().cast("array<struct<start: bigint, end: bigint>>")
-    spans = repeated_spans(texts, length)
-    if words is None:
-        spans = spans.withColumn("coded", none)
-    else:
+    found = []
+    if length is not None:
+        found.append(repeated_spans(texts, length).withColumn("coded", none))
+    if words is not None:
         coded = common.stored_once(_coded(texts, words), "coded")
         in_words = repeated_spans(coded, WORD_BYTES * words)
-        spans = spans.join(in_words.withColumnRenamed("spans", "coded"), "key", "full").select(
-            "key", F.coalesce("spans", none).alias("spans"), F.coalesce("coded", none).alias("coded")
-        )
-    spans = common.stored_once(spans, "spans")
+        found.append(in_words.select("key", none.alias("spans"), F.col("spans").alias("coded")))
+    if len(found) == 2:
+        found = [
+            found[0].drop("coded").join(found[1].drop("spans"), "key", "full").select(
+                "key", F.coalesce("spans", none).alias("spans"), F.coalesce("coded", none).alias("coded")
+            )
+        ]
+    if not found:
+        raise ValueError("give a length in bytes, in words or both")
+    spans = common.stored_once(found[0], "spans")
     marked = maybe_in(rows, "key", spans, "key", "likely")
     plain = marked.where("NOT likely").select(
         "doc_id",
         F.octet_length("text").cast("long").alias("n_bytes"),
         none.alias("spans"),
+        none.alias("passages"),
         F.col("text").cast("string" if as_text else "binary").alias("kept"),
     )
     touched = (
@@ -707,14 +721,14 @@ def remove_repeats(
         for batch in batches:
             sizes = pc.binary_length(batch.column("text")).to_pylist()
             for first, last in common.chunks(sizes, 4 * BLOCK):
-                yield _kept(batch.slice(first, last - first), as_text, words)
+                yield _kept(batch.slice(first, last - first), as_text, words, cut_passages)
 
     kind = rows.schema["doc_id"].dataType.simpleString()
+    listed = "array<struct<start: bigint, end: bigint>>"
     removed = common.map_arrow(
         touched,
         cut,
-        f"doc_id {kind}, n_bytes long, "
-        "spans array<struct<start: bigint, end: bigint>>, "
+        f"doc_id {kind}, n_bytes long, spans {listed}, passages {listed}, "
         f"kept {'string' if as_text else 'binary'}",
     )
     return plain.unionByName(removed)
@@ -723,13 +737,13 @@ def remove_repeats(
 def without_repeats(
     documents: DataFrame,
     text: str = "text",
-    length: int = LENGTH,
+    length: int | None = LENGTH,
     characters: str = "n_chars",
     words: int | None = None,
 ) -> DataFrame:
     """All rows and columns, the text without its repeated spans.
 
-    Spans are of ``length`` bytes and, if given, of ``words`` words.
+    Spans are of ``length`` bytes, of ``words`` words, or of both kinds.
 
     A character that is cut in two goes as a whole. The column ``characters``, if
     there is one, follows the new length. A null text becomes an empty one.
