@@ -33,17 +33,17 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: that of the smallest id.
 
-    Near duplicates share four fifths of their five-word shingles.
+    Fingerprints over three words link at three bits or fewer, as in op6.
     """
-    return near_duplicates.keep_one(docs, width=5, likeness=0.8)
+    return near_duplicates.keep_one(docs, width=3, radius=3)
 
 
 def passage_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages that occur more than once; none is dropped.
 
-    Passages have more than 50 words, or 400 bytes where words are long.
+    Passages have more than 50 words, whatever is between them.
     """
-    return repeats.without_repeats(docs, words=51)
+    return repeats.without_repeats(docs, length=None, words=51)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
