@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from freightlake.functions import keyed_uniform
-from freightlake.operators.checks import require_none
+from freightlake.operators.binomial import choose_items
+from freightlake.operators.checks import ModelInputError, require_none
 from freightlake.operators.expand import CHUNK, lay_out
 from freightlake.operators.pick import weighted_pick
 from freightlake.operators.sizing import MAX_BROADCAST_ROWS
@@ -50,6 +51,7 @@ def sample_daily_trucks(
     seed: int = 0,
     spread: bool = True,
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+    method: str = "trucks",
 ) -> DataFrame:
     """Trucks that travel on the target day of the target week.
 
@@ -57,7 +59,18 @@ def sample_daily_trucks(
     days are never stored. One draw among all days of a year gives both week
     and day. ``calendar`` (week, day, share) holds observed shares of the days;
     without it all 364 are alike.
+
+    With ``method="counts"`` trucks of other days are not even laid out: a line
+    draws how many of its trucks travel that day, and which ones. The law is the
+    same, the draws are not; lines are not shuffled.
     """
+    if method not in ("trucks", "counts"):
+        raise ModelInputError(f"no method {method}")
+    if method == "counts":
+        chosen = _travelling(
+            annual, day_share(calendar, target_week, target_day), keys, seed
+        )
+        return chosen.withColumns({"week": F.lit(target_week), "day": F.lit(target_day)})
     trucks = expand_trucks(annual, keys, spread=spread)
     uniform = keyed_uniform(*keys, "truck_seq", stage="day", seed=seed)
     if calendar is None:
@@ -82,6 +95,38 @@ def sample_daily_trucks(
     return chosen.withColumns({"week": F.lit(target_week), "day": F.lit(target_day)})
 
 
+def day_share(
+    calendar: DataFrame | None, target_week: int, target_day: int
+) -> float:
+    """Share of the target day in a year; missing and negative ones count as zero.
+
+    The only day of a calendar has all of it, and a calendar without any share none.
+    """
+    if calendar is None:
+        return 1 / (WEEKS * DAYS)
+    value = F.greatest(F.nanvl(F.col("share").cast("double"), F.lit(0.0)), F.lit(0.0))
+    mine = (F.col("week") == target_week) & (F.col("day") == target_day)
+    found = calendar.agg(
+        F.count(F.lit(1)).alias("days"),
+        F.count_if(mine).alias("mine"),
+        F.coalesce(F.sum(value), F.lit(0.0)).alias("all"),
+        F.coalesce(F.sum(F.when(mine, value)), F.lit(0.0)).alias("own"),
+    ).first()
+    if found.days == 1:
+        return float(found.mine)
+    return found.own / found.all if found.all > 0 else 0.0
+
+
+def _travelling(
+    annual: DataFrame, share: float, keys: Sequence[str], seed: int
+) -> DataFrame:
+    trucks = F.col("annual_trucks")
+    chosen = choose_items(annual, trucks, "truck_seq", share, keys, "day", seed)
+    return chosen.withColumns(
+        {"tons": F.col("tons") / trucks, "value": F.col("value") / trucks}
+    ).drop("annual_trucks")
+
+
 def temporal_gaps(trips: DataFrame, distributions: DataFrame) -> DataFrame:
     """Vehicle types that travel but have no hourly distribution."""
     return trips.select("vehicle_type").distinct().join(

@@ -330,7 +330,7 @@ def temporal_shares(spark: SparkSession) -> DataFrame:
 
 def calendar(spark: SparkSession) -> DataFrame:
     rows = [
-        (week, day, float((week * 3 + day * 5) % 11))
+        (week, day, float(calendar_share(week, day)))
         for week in range(1, 53)
         for day in range(1, 8)
     ]
@@ -399,5 +399,16 @@ def annual_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def heavy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same lines with a hundred times the trucks."""
+    return annual_lines(spark, sf_dir).withColumn(
+        "annual_trucks", F.col("annual_trucks") * 100
+    )
+
+
+def calendar_share(week: int, day: int) -> float:
+    return (week * 3 + day * 5) % 11
+
+
 def single_trucks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return expand_trucks(annual_lines(spark, sf_dir))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from freightlake.functions import half_even
-from freightlake.operators import allocation, daily, flows, generation, links
+from freightlake.operators import allocation, binomial, daily, flows, generation, links
 from freightlake.operators import local, matrices, profile, tripends, truckloads
 from freightlake.operators.prefix import bucket_round
 from freightlake.plans import local_trips, long_distance
@@ -394,6 +394,29 @@ def _(spark, d):
     )
 
 
+@query(
+    "daily_trucks_by_count",
+    sql.trucks_by_count("heavy_lines", 1 / 364, binomial.chunk_size(1 / 364), 24, 4),
+)
+def by_count(spark, d):
+    return daily.sample_daily_trucks(given.heavy_lines(spark, d), method="counts")
+
+
+_SHARE = given.calendar_share(30, 2) / sum(
+    given.calendar_share(week, day) for week in range(1, 53) for day in range(1, 8)
+)
+
+
+@query(
+    "calendar_trucks_by_count",
+    sql.trucks_by_count("heavy_lines", _SHARE, binomial.chunk_size(_SHARE), 30, 2),
+)
+def _(spark, d):
+    return daily.sample_daily_trucks(
+        given.heavy_lines(spark, d), 30, 2, calendar=given.calendar(spark), method="counts"
+    )
+
+
 @query("recode_region_to_zone", "SELECT * FROM recoded")
 def _(spark, d):
     return allocation.recode_region_to_zone(
