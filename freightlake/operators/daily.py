@@ -161,6 +161,7 @@ def temporal_allocation(
     seed: int = 0,
     strict: bool = False,
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+    route: str = "stretches",
 ) -> DataFrame:
     """Draw a start hour by the shares of the vehicle type; add the labels."""
     if strict:
@@ -176,5 +177,6 @@ def temporal_allocation(
         keyed_uniform(*keys, stage="hour", seed=seed),
         "start_hour",
         max_broadcast_rows=max_broadcast_rows,
+        route=route,
     )
     return period_matrix_labels(drawn)

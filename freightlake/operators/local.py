@@ -13,7 +13,6 @@ from freightlake.operators.pick import weighted_pick
 from freightlake.operators.sizing import (
     MAX_BROADCAST_ROWS,
     broadcast_if_small,
-    local_if_small,
 )
 from freightlake.operators.truckloads import VEHICLE_TYPES
 
@@ -52,12 +51,21 @@ def banded_skims(
     max_distance: float = MAX_DISTANCE,
     allow_intrazonals: bool = True,
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+    with_home: bool = False,
 ) -> DataFrame:
     """Zone pairs within reach, for each vehicle type with the share of trips
-    of that length; NULL where there is no target."""
-    near = skims.filter(F.col("value") <= max_distance)
+    of that length; NULL where there is no target.
+
+    ``with_home`` adds the pairs of a zone with itself that are not within reach,
+    and a column ``near`` that is false for them.
+    """
+    home = F.col("origin") == F.col("destination")
+    within = F.coalesce(F.col("value") <= max_distance, F.lit(False))
     if not allow_intrazonals:
-        near = near.filter(F.col("origin") != F.col("destination"))
+        within &= ~home
+    near = skims.filter(within)
+    if with_home:
+        near = skims.withColumn("near", within).filter(F.col("near") | home)
     banded = near.withColumns(
         {
             "distance": half_even(F.col("value") + 0.5).cast("int"),
@@ -94,21 +102,29 @@ def sample_local_destinations(
     seed: int = 0,
     strict: bool = False,
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+    route: str = "stretches",
 ) -> DataFrame:
     """Draw a destination by trip length and add the distance to it.
 
+    Candidates carry their distance, so the skims are read once; a zone's distance
+    to itself comes along with the number of zones within its reach.
+
     A trip with no zone within reach stays in its own zone. One whose zones
     within reach have no share at all gets no destination
     (``undrawn_destinations``), or raises with ``strict``.
     """
     if strict:
         require_none(skimless_origins(trips, skims), "origins without skims")
-    skims = local_if_small(
-        skims.select("origin", "destination", "value"), max_broadcast_rows
-    )
     reach = banded_skims(
-        skims, targets, vehicles, max_distance, allow_intrazonals, max_broadcast_rows
-    ).select("origin", "vehicle_type", "destination", "share")
+        skims.select("origin", "destination", "value"),
+        targets,
+        vehicles,
+        max_distance,
+        allow_intrazonals,
+        max_broadcast_rows,
+        with_home=True,
+    ).select("origin", "vehicle_type", "destination", "share", "near", F.col("value").alias("wgt_dist"))
+    home = F.col("origin") == F.col("destination")
     drawn = weighted_pick(
         trips,
         reach,
@@ -119,16 +135,21 @@ def sample_local_destinations(
         "destination",
         "_within_reach",
         max_broadcast_rows=max_broadcast_rows,
+        payload=["wgt_dist"],
+        eligible="near",
+        beside={"_home": F.max(F.when(home, F.col("wgt_dist")))},
+        route=route,
     )
-    placed = drawn.withColumn(
-        "destination",
-        F.when(F.col("_within_reach").isNull(), F.col("origin")).otherwise(
-            F.col("destination")
-        ),
-    ).drop("_within_reach")
+    stays = F.col("_within_reach").isNull()
+    placed = drawn.withColumns(
+        {
+            "destination": F.when(stays, F.col("origin")).otherwise(F.col("destination")),
+            "wgt_dist": F.when(stays, F.col("_home")).otherwise(F.col("wgt_dist")),
+        }
+    ).drop("_within_reach", "_home")
     if strict:
         require_none(undrawn_destinations(placed).select(*keys), "no destination for")
-    return append_skim_distance(placed, skims, max_broadcast_rows)
+    return placed
 
 
 def undrawn_destinations(placed: DataFrame) -> DataFrame:

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from freightlake.functions import keyed_uniform
 from freightlake.operators import daily
-from freightlake.operators.pick import weighted_pick
+from freightlake.operators.checks import ModelInputError
+from freightlake.operators.pick import slot_tables, weighted_pick
 
 SIZES = [200_000, 0]  # broadcast, shuffled
 
@@ -202,3 +203,122 @@ def test_all_days_of_a_year_share_out_all_trucks(spark):
     second = daily.sample_daily_trucks(lines, 1, 2, calendar=calendar).count()
     assert first + second == 5000
     assert abs(first - 3750) < 200
+
+
+def slots_of(candidates):
+    """Slots of one group of (choice, weight), one after the other."""
+    most = max(w for _, w in candidates)
+    if not most:
+        return []
+    shares = [(c, Decimal(str(w / most)).quantize(Decimal(10) ** -15)) for c, w in candidates]
+    mine = sorted((c, w) for c, w in shares if w > 0)
+    total, n = sum(w for _, w in mine), len(mine)
+    lights = [(c, w * n) for c, w in mine if w * n < total]
+    heavies = [(c, w * n) for c, w in mine if w * n >= total]
+    out, at, residual = {}, 0, heavies[0][1]
+    for c, w in lights:
+        while residual <= total and at + 1 < len(heavies):
+            out[heavies[at][0]] = (residual / total, heavies[at + 1][0])
+            residual = heavies[at + 1][1] - (total - residual)
+            at += 1
+        out[c] = (w / total, heavies[at][0])
+        residual -= total - w
+    while at + 1 < len(heavies):
+        out[heavies[at][0]] = (residual / total, heavies[at + 1][0])
+        residual = heavies[at + 1][1] - (total - residual)
+        at += 1
+    out[heavies[at][0]] = (residual / total, heavies[at][0])
+    return [(c, float(out[c][0]), out[c][1]) for c, _ in mine]
+
+
+GROUPS = {
+    1: [(c, float(c % 5)) for c in range(60)],
+    2: [(7, 0.0)],
+    3: [(1, 0.0), (2, 0.0)],
+    4: [(k, 1.0) for k in range(9)],
+    5: [(1, 1e6), *[(k, 1e-3) for k in range(2, 40)]],
+    6: [(k, 2.0**-k) for k in range(30)],
+    7: [(1, 1.0), (2, 3.0), (3, 3.0), (4, 1.0), (5, 2.0)],
+    8: [(1, 1e-30), (2, 1.0), (3, 1e30)],
+}
+
+
+@pytest.mark.parametrize("size", SIZES)
+def test_slots_equal_one_pass(spark, size):
+    rows = [(g, c, w) for g, own in GROUPS.items() for c, w in own]
+    frame = spark.createDataFrame(rows, "g int, choice int, weight double")
+    got = {}
+    for r in slot_tables(frame, ["g"], "choice", "weight", size > 0).collect():
+        got.setdefault(r.g, {})[r._slot] = (r._first.choice, r._own, r._second.choice)
+        assert r._slots == sum(1 for c, w in GROUPS[r.g] if w > 1e-15 * max(x for _, x in GROUPS[r.g])) or r.g == 2
+    for g, own in GROUPS.items():
+        want = slots_of(own) if g != 2 else [(7, 1.0, 7)]
+        if g == 8:
+            want = [(3, 1.0, 3)]
+        mine = [got.get(g, {})[i] for i in range(len(got.get(g, {})))]
+        assert [c for c, *_ in mine] == [c for c, *_ in want]
+        for (c, own_part, other), (_, part, second) in zip(mine, want):
+            assert abs(own_part - part) < 1e-12
+            assert other == second or part > 1 - 1e-12
+        # Parts of a choice over all slots add up to its share.
+        share = Counter()
+        for c, part, other in mine:
+            share[c] += part
+            share[other] += 1 - part
+        total = sum(w for _, w in own)
+        for c, w in own:
+            if total and g != 8:
+                assert abs(share[c] / len(mine) - w / total) < 1e-9
+
+
+@pytest.mark.parametrize("size, most", [(200_000, 1_000_000), (0, 1_000_000), (0, 8)])
+def test_slots_draw_by_the_law(spark, size, most):
+    rows = spark.range(40_000).select("id", (F.col("id") % 7 + 1).cast("int").alias("g"))
+    pairs = [(g, c, w, f"p{c}") for g, own in GROUPS.items() for c, w in own]
+    frame = spark.createDataFrame(pairs, "g int, choice int, weight double, tag string")
+    got = drawn(
+        rows, frame, ["g"], size, count_name="n", route="slots", payload=["tag"], max_slots=most
+    ).collect()
+    assert len(got) == 40_000
+    for g in range(1, 8):
+        mine = [r for r in got if r.g == g]
+        assert {r.n for r in mine} == {len(GROUPS[g])}
+        assert all(r.tag == (f"p{r.picked}" if r.picked is not None else None) for r in mine)
+        total = sum(w for _, w in GROUPS[g])
+        if not total:
+            assert {r.picked for r in mine} == ({7} if g == 2 else {None})
+            continue
+        found = Counter(r.picked for r in mine)
+        expected = {c: len(mine) * w / total for c, w in GROUPS[g] if len(mine) * w / total > 5}
+        square = sum((found[c] - e) ** 2 / e for c, e in expected.items())
+        assert square < len(expected) + 4 * (2 * len(expected)) ** 0.5 + 4
+
+
+def test_a_heavy_candidate_needs_no_bins(spark):
+    frame = spark.createDataFrame([(1, 1e6)] + [(k, 1e-3) for k in range(2, 3000)], "choice int, weight double")
+    tables = slot_tables(frame, [], "choice", "weight", True)
+    assert tables.count() == 2999
+    assert not any(f.dataType.simpleString().startswith("array") for f in tables.schema)
+    rows = spark.range(1_000_000)
+    one = rows.select("id", F.lit(1).alias("g"))
+    got = drawn(one, frame, [], 200_000, route="slots")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan
+    assert got.filter("picked = 1").count() > 999_900
+
+
+def test_beside_and_eligible(spark):
+    rows = spark.range(300).select("id", (F.col("id") % 4).cast("int").alias("g"))
+    pairs = [(0, 1, 1.0, True, 5), (0, 2, 9.0, False, 8), (1, 3, 1.0, False, 6)]
+    frame = spark.createDataFrame(pairs, "g int, choice int, weight double, near boolean, size int")
+    for route in ("stretches", "slots"):
+        for size in SIZES:
+            got = drawn(
+                rows, frame, ["g"], size, count_name="n", route=route,
+                eligible="near", beside={"most": F.max("size")},
+            ).collect()
+            assert {(r.g, r.picked, r.n, r.most) for r in got} == {
+                (0, 1, 1, 8), (1, None, None, 6), (2, None, None, None), (3, None, None, None)
+            }
+    with pytest.raises(ModelInputError):
+        drawn(rows, frame, ["g"], 10, route="other")

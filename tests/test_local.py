@@ -181,3 +181,25 @@ def test_matrix_total_is_number_of_trips(spark, sf_dir):
     table = matrices.od_matrices(trips)
     total = table.select(F.sum(sum((F.col(n) for n in matrices.MATRIX_NAMES), F.col("unlisted"))))
     assert total.first()[0] == trips.count()
+
+
+@pytest.mark.parametrize("size", [200_000, 0])
+def test_drawn_rows_carry_their_distance(make, size):
+    """As looked up afterwards, also for trips that stay in a zone out of reach."""
+    skims = [(o, d, 5.0 * abs(o - d) + 1) for o in range(6) for d in range(6)]
+    skims += [(9, 9, 500.0), (9, 1, 700.0), (8, 1, 900.0)]
+    trips = [(i, "SU", 1, (0, 1, 4, 8, 9, 77)[i % 6]) for i in range(120)]
+    frame = make(trips, "pfirmID int, vehicle_type string, trip_number int, origin int")
+    pairs = make(skims, "origin int, destination int, value double")
+    targets = make([(float(d) + 1, 1.0, 1.0, 1.0, 1.0, 1.0) for d in range(60)],
+                   "distance double, SU double, TT double, CS double, DBL double, TPT double")
+    targets = targets.withColumn("distance", targets.distance.cast("int"))
+    for home in (True, False):
+        placed = local.sample_local_destinations(
+            frame, pairs, targets, allow_intrazonals=home, max_broadcast_rows=size
+        )
+        again = local.append_skim_distance(placed.drop("wgt_dist"), pairs)
+        key = lambda r: (r.pfirmID, r.origin, r.destination, r.wgt_dist)
+        assert sorted(map(key, placed.collect()), key=str) == sorted(map(key, again.collect()), key=str)
+        stayed = {(r.origin, r.wgt_dist) for r in placed.collect() if r.origin > 5}
+        assert stayed == {(8, None), (9, 500.0), (77, None)}

@@ -677,6 +677,20 @@ def local_destinations(spark, d):
     )
 
 
+@query(
+    "slot_destinations",
+    _WITH_DISTANCE.format(trips=sql.slot_destinations("local_origins")),
+)
+def _(spark, d):
+    """Destinations by tables of slots."""
+    return local.sample_local_destinations(
+        given.local_origins(spark, d),
+        given.skims(spark, d),
+        given.length_targets(spark, d),
+        route="slots",
+    )
+
+
 @query(
     "interzonal_destinations",
     _WITH_DISTANCE.format(
@@ -717,6 +731,23 @@ def start_hours(spark, d):
     )
 
 
+_HOURS = f"(SELECT *, {sql.uniform('hour', 'flow_id')} AS u FROM flow_trips)"
+
+
+@query(
+    "slot_start_hours",
+    sql.labelled(f"({sql.picked(_HOURS, 'hour_slots', ['vehicle_type'], 'start_hour')})"),
+)
+def _(spark, d):
+    """Start hours by tables of slots."""
+    return daily.temporal_allocation(
+        given.flow_trips(spark, d),
+        given.temporal_shares(spark),
+        keys=["flow_id"],
+        route="slots",
+    )
+
+
 @query("period_matrix_labels", "SELECT * FROM labelled_trips")
 def _(spark, d):
     return daily.period_matrix_labels(given.flow_od_trips(spark, d))
