@@ -10,6 +10,7 @@ all in generated code, and little enough of it for the JVM to compile.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
@@ -141,26 +142,42 @@ def distance_band_lookup(
     or are left out with ``how="inner"``.
     """
     edges = band_edges(bands)
-    rounded = half_even(F.col(distance))
-    kinds = [bands.schema[name].dataType for name in ("minimum_range", "maximum_range")]
+    found = _numbered_bands(flows, edges, distance, how)
+    sides = zip(("minimum_range", "maximum_range"), zip(*edges) if edges else ((), ()))
+    listed = {
+        name: F.get(F.array(*[F.lit(e) for e in side]).cast(f"array<{bands.schema[name].dataType.simpleString()}>"), F.nullif(F.col("_band"), F.lit(-1)))
+        for name, side in sides
+    }
+    return found.select(*flows.columns, *[c.alias(n) for n, c in listed.items()])
 
-    def search(part: list[tuple], side: int) -> Column:
-        """The edge of the last band that starts at the distance or before it."""
-        if len(part) <= 1:
-            return F.lit(part[0][side] if part else None).cast(kinds[side])
+
+def _numbered_bands(
+    flows: DataFrame, edges: list[tuple], distance: str, how: str
+) -> DataFrame:
+    """Flows with ``_band``, the place of their band among ``edges``, else -1.
+
+    It is never NULL, so that no filter repeats the comparisons in generated code.
+    """
+    # Distances are whole: where a band starts, and where what lies between starts.
+    starts = [(math.ceil(low), at) for at, (low, _) in enumerate(edges)]
+    bounds = dict([(math.floor(high) + 1, -1) for _, high in edges] + starts)
+    steps = sorted(bounds.items())
+
+    def search(part: list[tuple], before: int) -> Column:
+        if not part:
+            return F.lit(before)
         middle = len(part) // 2
-        below = rounded < F.lit(part[middle][0])
-        return F.when(below, search(part[:middle], side)).otherwise(
-            search(part[middle:], side)
+        start, band = part[middle]
+        below = F.col("_distance") < F.lit(float(start))
+        return F.when(below, search(part[:middle], before)).otherwise(
+            search(part[middle + 1 :], band)
         )
 
-    inside = rounded.between(search(edges, 0), search(edges, 1))
-    found = flows.select(
-        "*",
-        F.when(inside, search(edges, 0)).alias("minimum_range"),
-        F.when(inside, search(edges, 1)).alias("maximum_range"),
-    )
-    return found.filter(F.col("minimum_range").isNotNull()) if how == "inner" else found
+    nowhere = F.lit(float("-inf"))
+    rounded = half_even(F.coalesce(F.col(distance).cast("double"), nowhere))
+    placed = flows.withColumn("_distance", rounded)
+    placed = placed.withColumn("_band", search(steps, -1)).drop("_distance")
+    return placed.filter(F.col("_band") >= 0) if how == "inner" else placed
 
 
 def _rate_of(vehicle: str) -> str:
@@ -250,16 +267,22 @@ def match_factors(
 ) -> DataFrame:
     """Flows with their band and combined factors, NULL where none apply."""
     most = factors.max_broadcast_rows
-    combined = broadcast_if_small(combined_factors(factors), most)
-    banded = distance_band_lookup(flows, factors.allocation, how=how)
-    return banded.join(combined, ["minimum_range", "maximum_range", "sctg2"], how)
+    edges = band_edges(factors.allocation)
+    number = F.when(F.lit(False), F.lit(None).cast("int"))
+    for at, (low, high) in enumerate(edges):
+        same = (F.col("minimum_range") == low) & (F.col("maximum_range") == high)
+        number = number.when(same, at)
+    combined = combined_factors(factors).withColumn("_band", number)
+    combined = broadcast_if_small(combined.drop("minimum_range", "maximum_range"), most)
+    # Flows outside all bands meet no factors.
+    return _numbered_bands(flows, edges, "wgt_dist", "left").join(combined, ["_band", "sctg2"], how)
 
 
 def _reject_reason() -> Column:
     return (
         F.when(F.col("exp_tons").isNull(), "no tons")
         .when(F.col("wgt_dist").isNull(), "no distance")
-        .when(F.col("minimum_range").isNull(), "distance outside all bands")
+        .when(F.col("_band") < 0, "distance outside all bands")
         .when(F.col("_rate").isNull(), "no factors for commodity")
     )
 

@@ -189,3 +189,36 @@ def test_layout_does_not_matter(spark, sf_dir):
     ]
     assert results[0] == results[1]
     assert len(set(chain(results[0]))) == len(results[0])
+
+
+def test_generated_code_is_small_enough_to_be_compiled(spark, sf_dir):
+    """The JVM compiles no method of over 8,000 bytes; wider flows must fit too."""
+    study = inputs.study_flows(spark, sf_dir)
+    wide = study.withColumns({f"extra{i}": F.col("exp_tons") * i for i in range(10)})
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        trucks = truckloads.annual_truckloads(wide, inputs.factors(spark))
+        plan = trucks._jdf.queryExecution().executedPlan()
+        debug = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
+        stages = debug.codegenStringSeq(plan)
+        sizes = [stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert 0 < max(sizes) < 7800
+
+
+def test_bands_with_gaps_open_ends_and_halves(make):
+    bands = make([(5, 9), (10, 19), (31, 2147483647)], "minimum_range int, maximum_range int")
+    rows = [(d,) for d in (None, -1.0, 4.4, 4.6, 9.5, 9.4, 10.5, 19.5, 20.0, 30.4, 30.6, 3e9, float("nan"))]
+    got = {
+        str(r.wgt_dist): (r.minimum_range, r.maximum_range)
+        for r in truckloads.distance_band_lookup(make(rows, "wgt_dist double"), bands).collect()
+    }
+    none = (None, None)
+    assert got == {
+        "None": none, "-1.0": none, "4.4": none, "4.6": (5, 9), "9.5": (10, 19), "9.4": (5, 9),
+        "10.5": (10, 19), "19.5": none, "20.0": none, "30.4": none, "30.6": (31, 2147483647),
+        "3000000000.0": none, "nan": none,
+    }
+    inner = truckloads.distance_band_lookup(make(rows, "wgt_dist double"), bands, how="inner")
+    assert inner.count() == 5
