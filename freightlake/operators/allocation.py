@@ -11,7 +11,11 @@ from freightlake.functions import is_in, keyed_uniform
 from freightlake.operators.checks import require_none
 from freightlake.operators.daily import TRUCK_KEYS
 from freightlake.operators.pick import weighted_pick
-from freightlake.operators.sizing import MAX_BROADCAST_ROWS, broadcast_if_small
+from freightlake.operators.sizing import (
+    MAX_BROADCAST_ROWS,
+    broadcast_if_small,
+    local_if_small,
+)
 
 
 def recode_region_to_zone(
@@ -77,20 +81,21 @@ def allocate_internal_ends(
             multi_zone_regions(equivalencies, internal_regions),
             "outside regions with more than one zone",
         )
-    weights = combi_attractions(zonal_attractions)
+    # Both ends are drawn from one table, and only for trips that end inside.
+    weights = local_if_small(combi_attractions(zonal_attractions), max_broadcast_rows)
     placed = recode_region_to_zone(trips, outside, max_broadcast_rows)
     for end, region in (("origin", "dms_orig"), ("destination", "dms_dest")):
+        inside = is_in(region, internal_regions)
         drawn = weighted_pick(
             placed,
             weights,
             [],
             "STDM_TAZ",
             "combi",
-            keyed_uniform(*keys, stage=end, seed=seed),
+            F.when(inside, keyed_uniform(*keys, stage=end, seed=seed)),
             "_drawn",
             max_broadcast_rows=max_broadcast_rows,
         )
-        inside = is_in(region, internal_regions)
         placed = drawn.withColumn(
             end, F.when(inside, F.col("_drawn")).otherwise(F.col(end))
         ).drop("_drawn")

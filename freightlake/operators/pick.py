@@ -27,6 +27,7 @@ from freightlake.operators.sizing import (
     bounded,
     broadcast_if_small,
     local_if_small,
+    part_of,
 )
 from freightlake.sources.tables import stored_once
 
@@ -261,6 +262,8 @@ def weighted_pick(
     any of several, get NULL. ``count_name`` adds the number of candidates;
     ``only`` keeps just the rows for which that choice is drawn.
 
+    A row whose ``uniform`` is NULL draws nothing.
+
     ``payload`` names columns of the candidates that the drawn one hands to the row.
     With ``eligible``, a boolean column, other candidates can't be drawn and don't
     count; ``beside`` adds aggregates over all candidates of the row's group.
@@ -275,6 +278,7 @@ def weighted_pick(
     flag = [eligible] if eligible else []
     aggregated = [c for c in candidates.columns if beside and c not in {*group, choice, weight, *payload, *flag}]
     needed = candidates.select(*group, choice, weight, *payload, *flag, *aggregated)
+    needed = part_of(needed, candidates)
     local = bounded(needed, max_broadcast_rows)
     small = local is not None
     # More candidates than can be broadcast are read several times below.
@@ -343,7 +347,12 @@ def _by_stretches(
         *payload,
     )
     bins = _power_of_two_from(F.coalesce(F.col("_candidates"), F.lit(1)), least)
-    placed = drawn.withColumn("_bin", F.floor(F.col("_u") * bins))
+    bin_of = F.floor(F.col("_u") * bins)
+    if not small:
+        # Rows that draw nothing are spread over bins that are not there.
+        apart = F.pmod(F.hash(*[F.col(f"`{c}`") for c in drawn.columns]), F.lit(least))
+        bin_of = F.coalesce(bin_of, -1 - apart.cast("bigint"))
+    placed = drawn.withColumn("_bin", bin_of)
     keys = [F.col(f"r.{key}") == F.col(f"c.{key}") for key in [*group, "_bin"]]
     inside = (F.col("_u") >= F.col("_low")) & (F.col("_u") < F.col("_high"))
     right = F.broadcast(binned) if small else binned

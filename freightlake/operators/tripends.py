@@ -13,8 +13,10 @@ from freightlake.operators.daily import TRUCK_KEYS
 from freightlake.operators.pick import weighted_pick
 from freightlake.operators.sizing import (
     MAX_BROADCAST_ROWS,
+    beside,
     broadcast_if_small,
     local_if_small,
+    part_of,
 )
 
 
@@ -56,21 +58,31 @@ def missing_regions(
 
 
 def make_use_scaling(
-    candidates: DataFrame, coefficients: DataFrame, kind: str
+    candidates: DataFrame,
+    coefficients: DataFrame,
+    kind: str,
+    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """Attractions by commodity, scaled by make (``M``) or use (``U``)
     coefficients of the firm category.
 
+    A category's coefficients are one list, which a zone's row meets once and lays
+    out in place: the few categories are no keys of a shuffle.
+
     Pairs without a coefficient count as zero and are left out, as are zeros.
     """
-    scaled = coefficients.filter(F.col("MorU") == kind).select(
-        "sctg2", "Category", "coefficient"
-    )
+    entry = F.struct("sctg2", "coefficient")
+    rows = coefficients.filter((F.col("MorU") == kind) & (F.col("coefficient") != 0))
+    scaled = rows.groupBy("Category").agg(F.collect_list(entry).alias("_scaled"))
+    side = part_of(scaled, coefficients)
+    known = beside(side, candidates, coefficients)
+    side = known if known is not side else broadcast_if_small(side, max_broadcast_rows)
+    kept = [c for c in candidates.columns if c != "attractions"]
     return (
-        candidates.join(scaled, "Category")
-        .withColumn("attractions", F.col("coefficient") * F.col("attractions"))
+        candidates.join(side, "Category")
+        .select(*kept, F.col("attractions").alias("_plain"), F.inline("_scaled"))
+        .select(*kept, "sctg2", (F.col("coefficient") * F.col("_plain")).alias("attractions"))
         .filter(F.col("attractions") > 0)
-        .drop("coefficient")
     )
 
 
@@ -98,11 +110,11 @@ def _pools(
     ``base`` holds plain attractions, ``equal`` the same zones all alike, and
     a pool per commodity, named by its code, the scaled attractions.
     """
-    in_region = candidates.filter(F.col("faf_region").isNotNull())
+    in_region = part_of(candidates.filter(F.col("faf_region").isNotNull()), candidates)
     base = _by_region_and_zone(collapse_attractors(in_region))
     totals = base.groupBy("faf_region").agg(F.sum("weight").alias("_total"))
     listed = F.col("listed").cast("double")
-    plain = base.join(totals, "faf_region").select(
+    plain = base.join(beside(totals, candidates), "faf_region").select(
         F.lit("base").alias("pool"),
         "faf_region",
         "STDM_TAZ",
@@ -159,10 +171,14 @@ def sample_tripends(
     for zone, region, kind in (("ozone", "dms_orig", "M"), ("dzone", "dms_dest", "U")):
         pools = local_if_small(
             _pools(candidates, makeuse_coefficients, kind), max_broadcast_rows
-        ).withColumnsRenamed({"faf_region": region, "pool": "_pool"})
+        )
+        renamed = pools.withColumnsRenamed({"faf_region": region, "pool": "_pool"})
+        pools = part_of(renamed, pools)
         group = [region]
         if makeuse_coefficients is not None:
-            rows = makeuse_coefficients.filter(F.col("MorU") == kind)
+            rows = part_of(
+                makeuse_coefficients.filter(F.col("MorU") == kind), makeuse_coefficients
+            )
             placed = _with_pool(placed, pools, rows, region, max_broadcast_rows)
             group = ["_pool", region]
         placed = weighted_pick(
@@ -190,6 +206,7 @@ def _with_pool(
     """Add the pool of each trip: the commodity's own where it has any weight
     in the region, ``equal`` where its coefficients leave none, else ``base``."""
     scaled = coefficients.select("sctg2").distinct().withColumn("_scaled", F.lit(True))
+    scaled = part_of(scaled, coefficients)
     # The names of the other pools are no codes and give NULL.
     own = (
         pools.select(F.col("_pool").try_cast("int").alias("sctg2"), region)
@@ -197,6 +214,7 @@ def _with_pool(
         .distinct()
         .withColumn("_own", F.lit(True))
     )
+    own = part_of(own, pools)
     return (
         trips.join(broadcast_if_small(scaled, max_broadcast_rows), "sctg2", "left")
         .join(broadcast_if_small(own, max_broadcast_rows), ["sctg2", region], "left")

@@ -22,8 +22,10 @@ from freightlake.functions import half_even, settled
 from freightlake.operators.checks import ModelInputError
 from freightlake.operators.sizing import (
     MAX_BROADCAST_ROWS,
+    beside,
     broadcast_if_small,
     local_if_small,
+    together,
 )
 
 # Vehicle types, body types and the names of trade types.
@@ -116,8 +118,11 @@ def band_edges(bands: DataFrame) -> list[tuple]:
     Bands are parameters: more than ``MAX_BANDS``, bands that overlap and bands
     without an edge are refused.
     """
-    ranges = bands.select("minimum_range", "maximum_range").distinct()
-    edges = [tuple(row) for row in ranges.limit(MAX_BANDS + 1).collect()]
+    ranges = bands.select("minimum_range", "maximum_range")
+    if bands.isLocal():
+        edges = list({tuple(row) for row in ranges.collect()})
+    else:
+        edges = [tuple(row) for row in ranges.distinct().limit(MAX_BANDS + 1).collect()]
     if len(edges) > MAX_BANDS:
         raise ModelInputError(f"more than {MAX_BANDS} distance bands")
     if any(None in edge for edge in edges):
@@ -194,7 +199,9 @@ def combined_factors(factors: TruckFactors) -> DataFrame:
     most = factors.max_broadcast_rows
     allocation = local_if_small(factors.allocation, most)
     equivalency = local_if_small(factors.equivalency, most)
-    empties = unpivot_empty(local_if_small(factors.empty, most), factors.vehicles)
+    empty = local_if_small(factors.empty, most)
+    tables = (allocation, equivalency, empty)
+    empties = together(unpivot_empty(empty, factors.vehicles), *tables)
     by_crossing = empties.groupBy("body_type", "vehicle_type").agg(
         *[
             F.max(
@@ -206,11 +213,13 @@ def combined_factors(factors: TruckFactors) -> DataFrame:
     place = F.array_position(
         F.array(*[F.lit(body) for body in factors.bodies]), F.col("body_type")
     )
-    positive = unpivot_equivalency(equivalency, factors.bodies)
+    positive = together(unpivot_equivalency(equivalency, factors.bodies), *tables)
     needed = positive.groupBy("sctg2").agg(F.count(F.lit(1)).alias("_needed"))
     cells = (
-        positive.join(normalise_allocation_bands(allocation), "vehicle_type")
-        .join(by_crossing, ["body_type", "vehicle_type"], "left")
+        positive.join(
+            beside(normalise_allocation_bands(allocation), *tables), "vehicle_type"
+        )
+        .join(beside(by_crossing, *tables), ["body_type", "vehicle_type"], "left")
         .withColumn("rate", F.col("alloc_factor") * F.col("equiv_factor"))
         .withColumn("place", place)
     )
@@ -247,7 +256,7 @@ def combined_factors(factors: TruckFactors) -> DataFrame:
         ).alias("_can_rescue"),
     )
     return (
-        combined.join(needed, "sctg2")
+        combined.join(beside(needed, *tables), "sctg2")
         .filter(F.col("_found") == F.col("_needed"))
         .drop("_found", "_needed")
     )
