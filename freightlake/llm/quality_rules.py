@@ -1,10 +1,14 @@
 """Quality rules: base rules, and a likelihood ratio of hashed word n-grams.
 
 Words and word pairs are hashed to buckets. Two multinomials over the buckets
-are estimated, of the raw corpus from all documents and of the trusted ones,
-smoothed towards the raw one. A document's score is the mean over its n-grams of
-the logarithm of the trusted over the raw probability; it is kept if it passes
-the base rules and scores ``threshold`` or more. Nothing is drawn at random.
+are estimated, of the raw corpus from all documents and of the trusted ones, each
+bucket smoothed by ``PRIOR`` n-grams that are dealt as all n-grams are; a bucket of
+which little is known is neutral, however large the corpus. A document is judged
+by the counts of all others: its own n-grams are taken out of both sides, so that
+it makes no difference whether it is itself among the trusted ones. Its score is
+the mean over its n-grams of the logarithm of the trusted over the raw probability;
+it is kept if it passes the base rules and scores ``threshold`` or more. Nothing is
+drawn at random.
 """
 
 from __future__ import annotations
@@ -20,16 +24,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from freightlake.llm import common
+from freightlake.operators.sizing import bounded
 
-# Buckets: as many as there are pieces of ``PIECE`` bytes of text, as a power of
-# two from the least to the most. What the driver and each task hold grows with it.
-LEAST_BUCKETS, MOST_BUCKETS = 1 << 16, 1 << 22
-PIECE = 8192
-
-# Strength of the smoothing in n-grams, and the least score that is kept.
-PRIOR = 65_536.0
+# Buckets, the same for every corpus, the strength of the smoothing of each in
+# n-grams, and the least score that is kept.
+BUCKETS = 1 << 16
+PRIOR = 64.0
 THRESHOLD = -0.08
 
+# Trusted ids up to which they go to every task; more meet the texts in a shuffle.
+MOST_IDS = 1 << 20
+
 # Words whose hashes a worker keeps, and bytes of text it takes at a time.
 CACHE_WORDS = 200_000
 CHUNK = 2_000_000
@@ -90,12 +95,6 @@ class Grams:
         return np.bincount(self.text[covered], minlength=len(out))
 
 
-def buckets_for(size: int) -> int:
-    """Buckets for a corpus of ``size`` bytes: 65,536 up to 0.5 GB, 4,194,304 at 32 GB."""
-    wanted = 1 << max(0, -(-size // PIECE) - 1).bit_length()
-    return min(max(wanted, LEAST_BUCKETS), MOST_BUCKETS)
-
-
 def trusted_ids(labels: DataFrame) -> DataFrame:
     """All ids whose labels all say quality 1."""
     return (
@@ -107,12 +106,34 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
     )
 
 
-def log_ratios(rows: DataFrame, buckets: int, prior: float = PRIOR) -> np.ndarray:
-    """Logarithm of trusted over raw probability for each bucket.
+def flagged(
+    documents: DataFrame, labels: DataFrame, doc_id: str, flag: str, most: int = MOST_IDS
+) -> DataFrame:
+    """``documents`` with a boolean ``flag``: whether the id is a trusted one.
+
+    Texts stay where they are unless there are more than ``most`` trusted ids.
+    """
+    ids = trusted_ids(labels).select(F.col("doc_id").alias(f"{flag}_id"))
+    few = bounded(ids, most)
+    # Texts are not sorted for the join: a task holds its share of the ids.
+    side = ids.hint("shuffle_hash") if few is None else F.broadcast(few)
+    met = documents.join(side, F.col(f"`{doc_id}`") == F.col(f"{flag}_id"), "left")
+    return met.withColumn(flag, F.col(f"{flag}_id").isNotNull()).drop(f"{flag}_id")
+
+
+@dataclass(frozen=True)
+class Counts:
+    """N-grams of all documents and of the trusted ones by bucket."""
+
+    raw: np.ndarray
+    trusted: np.ndarray
+
 
-    ``rows`` has ``text`` and the flag ``trusted``. Tasks send sums for each
-    bucket, so what is shuffled does not depend on the length of texts, and the
-    result is ``buckets`` numbers.
+def counted(rows: DataFrame, buckets: int = BUCKETS) -> Counts:
+    """Counts of all ``rows`` (``text, trusted``).
+
+    Tasks send sums for each bucket, so what is shuffled does not depend on the
+    length of texts, and the result is twice ``buckets`` numbers.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,14 +150,32 @@ def log_ratios(rows: DataFrame, buckets: int, prior: float = PRIOR) -> np.ndarra
             {"bucket": used, "raw": sums[0][used], "trusted": sums[1][used]}
         )
 
-    counted = common.map_arrow(rows, count, "bucket long, raw long, trusted long")
-    sums = counted.groupBy("bucket").agg(F.sum("raw"), F.sum("trusted")).toArrow()
-    raw, trusted = np.ones(buckets), np.zeros(buckets)
+    by_task = common.map_arrow(rows, count, "bucket long, raw long, trusted long")
+    sums = by_task.groupBy("bucket").agg(F.sum("raw"), F.sum("trusted")).toArrow()
+    raw, trusted = np.zeros(buckets), np.zeros(buckets)
     bucket, n_raw, n_trusted = (c.to_numpy() for c in sums.columns)
-    raw[bucket] += n_raw
-    trusted[bucket] += n_trusted
-    raw /= raw.sum()
-    return np.log((trusted + prior * raw) / (trusted.sum() + prior)) - np.log(raw)
+    raw[bucket] = n_raw
+    trusted[bucket] = n_trusted
+    return Counts(raw, trusted)
+
+
+def scores(grams: Grams, trusted: np.ndarray, counts: Counts, prior: float) -> np.ndarray:
+    """Mean logarithm of the ratio of each text, without its own part of the counts.
+
+    0 where no n-grams, or no trusted ones, are left.
+    """
+    texts, buckets = len(grams.sizes), len(counts.raw)
+    keys, n = np.unique(grams.of * buckets + grams.buckets, return_counts=True)
+    of, bucket = keys // buckets, keys % buckets
+    size = np.bincount(of, n, texts)
+    own = n * trusted[of]
+    total = counts.trusted.sum() - size * trusted
+    share = np.divide(total, counts.raw.sum() - size, out=np.zeros(texts), where=total > 0)
+    usable = share[of] > 0
+    of, bucket, n, own = of[usable], bucket[usable], n[usable], own[usable]
+    above = counts.trusted[bucket] - own + prior * share[of]
+    below = (counts.raw[bucket] - n + prior) * share[of]
+    return np.bincount(of, n * np.log(above / below), texts) / np.maximum(size, 1)
 
 
 @dataclass(frozen=True)
@@ -148,29 +187,13 @@ class Limits:
     most_repeated: int = 50
 
 
-def learned_ratios(
-    rows: DataFrame,
-    labels: DataFrame,
-    buckets: int | None = None,
-    prior: float = PRIOR,
-) -> np.ndarray:
-    """Ratios from all of ``rows`` (``doc_id, text``) and all the trusted among them."""
-    if buckets is None:
-        buckets = buckets_for(rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
-    trusted = trusted_ids(labels).withColumn("trusted", F.lit(True))
-    # Texts are not sorted for the join: a task holds its share of the ids.
-    flagged = rows.join(trusted.hint("shuffle_hash"), "doc_id", "left").select(
-        "text", F.coalesce("trusted", F.lit(False)).alias("trusted")
-    )
-    return log_ratios(flagged, buckets, prior)
-
-
-def judge(raw: list[bytes], weights: np.ndarray, limits: Limits) -> dict[str, np.ndarray]:
+def judge(
+    raw: list[bytes], trusted: np.ndarray, counts: Counts, limits: Limits, prior: float
+) -> dict[str, np.ndarray]:
     """Counts, score and verdict of some texts, by column."""
     split = [t.split() for t in raw]
-    grams = Grams(split, len(weights))
-    sums = np.bincount(grams.of, weights[grams.buckets], len(raw))
-    score = sums / np.maximum(np.bincount(grams.of, minlength=len(raw)), 1)
+    grams = Grams(split, len(counts.raw))
+    score = scores(grams, trusted, counts, prior)
     # Bytes that go on a character are no code points of their own.
     chars = [sum(map(len, words)) for words in split]
     inner = [len(t) - len(t.translate(None, _INNER)) for t in raw]
@@ -205,26 +228,29 @@ def apply_rules(
     doc_id: str = "doc_id",
     text: str = "text",
     limits: Limits = Limits(),
-    buckets: int | None = None,
+    buckets: int = BUCKETS,
     prior: float = PRIOR,
+    most_ids: int = MOST_IDS,
 ) -> DataFrame:
     """Counts, verdict and score of every document, a row for each row.
 
     Gives ``doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     base_failed, score, kept``. ``labels`` has ``doc_id`` and ``quality``; the
-    trusted documents are all those with quality 1. ``buckets`` follow the size of
-    the corpus unless they are given. A text
-    without words, null ones included, scores 0 and fails the base rules. Without
-    any trusted document all scores are 0, and the base rules alone decide. Rows
-    of one id are each judged by their own text; other columns are left out.
+    trusted documents are all those with quality 1, and each row is judged without
+    its own n-grams. A text without words, null ones included, scores 0 and fails the
+    base rules. Without any other trusted document a score is 0, and the base rules
+    alone decide. Rows of one id are each judged by their own text; other columns are
+    left out.
     """
-    rows = _rows(documents, doc_id, text)
-    ratios = learned_ratios(rows, labels, buckets, prior)
-    shared = documents.sparkSession.sparkContext.broadcast(ratios)
+    rows = flagged(_rows(documents, doc_id, text), labels, "doc_id", "trusted", most_ids)
+    counts = counted(rows.select("text", "trusted"), buckets)
+    shared = documents.sparkSession.sparkContext.broadcast(counts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in (p for b in batches for p in common.slices(b, "text", CHUNK)):
-            found = judge(common.byte_column(part, "text"), shared.value, limits)
+            trusted = np.array(part.column("trusted").to_pylist(), bool)
+            raw = common.byte_column(part, "text")
+            found = judge(raw, trusted, shared.value, limits, prior)
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), *map(pa.array, found.values())],
                 ["doc_id", *found],
@@ -246,17 +272,24 @@ def keep_passing(
     doc_id: str = "doc_id",
     text: str = "text",
     limits: Limits = Limits(),
-    buckets: int | None = None,
+    buckets: int = BUCKETS,
     prior: float = PRIOR,
+    most_ids: int = MOST_IDS,
 ) -> DataFrame:
-    """All columns of the rows that ``apply_rules`` keeps, which stay where they are."""
-    rows = _rows(documents, doc_id, text)
-    ratios = learned_ratios(rows, labels, buckets, prior)
-    shared = documents.sparkSession.sparkContext.broadcast(ratios)
+    """All columns of the rows that ``apply_rules`` keeps."""
+    flag = "trusted"
+    while any(c.startswith(flag) for c in documents.columns):
+        flag += "_"
+    marked = flagged(documents, labels, doc_id, flag, most_ids)
+    rows = marked.select(F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"), F.col(flag).alias("trusted"))
+    counts = counted(rows, buckets)
+    shared = documents.sparkSession.sparkContext.broadcast(counts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in (p for b in batches for p in common.slices(b, text, CHUNK)):
+            trusted = np.array(part.column(flag).to_pylist(), bool)
             raw = [t or b"" for t in common.byte_column(part, text)]
-            yield part.filter(pa.array(judge(raw, shared.value, limits)["kept"]))
+            kept = pa.array(judge(raw, trusted, shared.value, limits, prior)["kept"])
+            yield part.drop_columns([flag]).filter(kept)
 
-    return common.map_arrow(documents, run, documents.schema)
+    return common.map_arrow(marked, run, documents.schema)
