@@ -12,8 +12,9 @@ the probability of their generalised Jaccard similarity, the sum of the smaller
 weights over the sum of the larger ones. The least a itself stands for the pair
 (term, t) in the fingerprint.
 
-Terms are hashed to ``TERMS`` rows of draws, which every worker makes for itself
-from the same seed.
+The draws of a term follow from its 64-bit hash alone: gamma draws of shape 2 are
+logarithms of products of two uniform ones, and these are pieces of the hash mixed
+with a number for each sample. No two terms share draws unless their hashes do.
 """
 
 from __future__ import annotations
@@ -32,35 +33,62 @@ from pyspark.sql import functions as F
 from freightlake.llm import common
 
 SAMPLES = 64
-TERMS = 1 << 16
 SEED = 20_240_607
 
-# Words whose hashes a worker keeps, words it signs at a time, and characters of
-# the texts that it holds at a time.
+# Words whose hashes a worker keeps, words it signs at a time, terms whose draws it
+# holds at a time, and characters of the texts that it holds at a time.
 CACHE_WORDS = 300_000
 CHUNK_WORDS = 40_000
+PART_TERMS = 1 << 15
 CHUNK_CHARACTERS = 4_000_000
 
 _FIRST, _LAST = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
+def _mixed(values: np.ndarray) -> np.ndarray:
+    """Mixes in place."""
+    values ^= values >> np.uint64(32)
+    values *= np.uint64(0xD6E8FEB86659FD93)
+    values ^= values >> np.uint64(29)
+    values *= np.uint64(0x9FB21C651E98DF25)
+    values ^= values >> np.uint64(32)
+    return values
+
+
+def _uniform(values: np.ndarray, piece: int) -> np.ndarray:
+    """One of three pieces of 21 bits as a number between 0 and 1."""
+    bits = (values >> np.uint64(21 * piece)) & np.uint64((1 << 21) - 1)
+    out = bits.astype(np.float32)
+    out += np.float32(0.5)
+    out *= np.float32(2.0**-21)
+    return out
+
+
 class Sampler:
-    """Draws of all terms, and signatures of texts by them."""
+    """Draws of terms, and signatures of texts by them."""
 
-    def __init__(self, samples: int, terms: int, seed: int) -> None:
-        self.samples, self.terms = samples, terms
+    def __init__(self, samples: int, seed: int) -> None:
+        self.samples = samples
         draws = np.random.Generator(np.random.PCG64(seed))
-        shape = (terms, samples)
-        self.r = draws.standard_gamma(2.0, shape, np.float32)
-        self.b = draws.random(shape, np.float32)
-        # Most terms occur once: ln(weight) is 0 then, so t is 0 and a is this.
-        self.single = draws.standard_gamma(2.0, shape, np.float32)
-        np.log(self.single, out=self.single)
-        for at in range(0, terms, 4096):
-            part = slice(at, at + 4096)
-            self.single[part] -= self.r[part] * (1 - self.b[part])
+        self.flips = draws.integers(0, 1 << 64, samples, np.uint64)
         self.words = common.WordHashes()
 
+    def draws(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``r``, ``b`` and, for a weight of one, ``a``: rows are terms."""
+        first = _mixed(hashes[:, None] ^ self.flips[None, :])
+        r = _uniform(first, 0)
+        r *= _uniform(first, 1)
+        np.negative(np.log(r, out=r), out=r)
+        a = _uniform(first, 2)
+        first += np.uint64(0x9E3779B97F4A7C15)
+        second = _mixed(first)
+        a *= _uniform(second, 0)
+        b = _uniform(second, 1)
+        # ln(weight) is 0 then, so t is 0 and a is ln(c) - r (1 - b).
+        np.log(np.negative(np.log(a, out=a), out=a), out=a)
+        a -= r * (np.float32(1) - b)
+        return r, b, a
+
     def _hashes(self, split: list[list[bytes]]) -> np.ndarray:
         if len(self.words) > CACHE_WORDS:
             self.words.clear()
@@ -68,7 +96,7 @@ class Sampler:
         return np.fromiter(hashed, np.uint64, sum(map(len, split)))
 
     def _terms(self, split: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
-        """Row of draws and text of every word pair; n words give n + 1 pairs."""
+        """Hash and text of every word pair; n words give n + 1 pairs."""
         sizes = np.fromiter(map(len, split), np.int64, len(split))
         hashes = self._hashes(split)
         ends = np.cumsum(sizes + 1)
@@ -84,29 +112,28 @@ class Sampler:
         mixed = left * np.uint64(0xFF51AFD7ED558CCD) + right * np.uint64(0xC4CEB9FE1A85EC53)
         mixed ^= mixed >> np.uint64(33)
         mixed *= np.uint64(0x9FB21C651E98DF25)
-        rows = (mixed >> np.uint64(40)).astype(np.int64) % self.terms
-        return rows, np.repeat(np.arange(len(split)), sizes + 1)
+        mixed ^= mixed >> np.uint64(29)
+        return mixed, np.repeat(np.arange(len(split)), sizes + 1)
 
     def _signed(self, split: list[list[bytes]]) -> np.ndarray:
-        rows, of = self._terms(split)
-        keys, weights = np.unique(of * self.terms + rows, return_counts=True)
-        rows, of = keys % self.terms, keys // self.terms
-        # Pieces bound the memory of texts with very many terms.
+        hashes, of = self._terms(split)
+        terms, rows = np.unique(hashes, return_inverse=True)
+        keys, weights = np.unique(of * len(terms) + rows, return_counts=True)
+        # Parts bound the memory of texts with very many terms.
         least = np.full((len(split), self.samples), np.inf, np.float32)
-        for at in range(0, len(rows), 2 * CHUNK_WORDS):
-            part = slice(at, at + 2 * CHUNK_WORDS)
-            a = self.single[rows[part]]
-            heavy = np.flatnonzero(weights[part] > 1)
+        for at in range(0, len(keys), PART_TERMS):
+            part = keys[at : at + PART_TERMS]
+            used, own = np.unique(part % len(terms), return_inverse=True)
+            r, b, single = self.draws(terms[used])
+            a = single[own]
+            heavy = np.flatnonzero(weights[at : at + PART_TERMS] > 1)
             if len(heavy):
-                own = rows[part][heavy]
-                r, b = self.r[own], self.b[own]
-                ln_w = np.log(weights[part][heavy].astype(np.float32))[:, None]
-                t = np.floor(ln_w / r + b)
-                a[heavy] -= r * t
-            texts, first = np.unique(of[part], return_index=True)
-            ends = [*first[1:].tolist(), len(a)]
-            for own, start, end in zip(texts.tolist(), first.tolist(), ends, strict=True):
-                np.minimum(least[own], a[start:end].min(axis=0), out=least[own])
+                r, b = r[own[heavy]], b[own[heavy]]
+                ln_w = np.log(weights[at + heavy].astype(np.float32))[:, None]
+                a[heavy] -= r * np.floor(ln_w / r + b)
+            texts, first = np.unique(part // len(terms), return_index=True)
+            lowest = np.minimum.reduceat(a, first, axis=0)
+            least[texts] = np.minimum(least[texts], lowest)
         return least
 
     def signatures(self, texts: list[bytes]) -> np.ndarray:
@@ -120,8 +147,8 @@ class Sampler:
 
 
 @lru_cache(maxsize=2)
-def sampler(samples: int, terms: int, seed: int) -> Sampler:
-    return Sampler(samples, terms, seed)
+def sampler(samples: int, seed: int) -> Sampler:
+    return Sampler(samples, seed)
 
 
 def likeness(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -140,7 +167,6 @@ def fingerprint(
     doc_id: str = "doc_id",
     text: str = "text",
     samples: int = SAMPLES,
-    terms: int = TERMS,
     seed: int = SEED,
 ) -> DataFrame:
     """``doc_id, fingerprint`` of every row, in place and without a shuffle.
@@ -154,7 +180,7 @@ def fingerprint(
     )
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = sampler(samples, terms, seed)
+        own = sampler(samples, seed)
         for batch in batches:
             signed = own.signatures(common.byte_column(batch, "text"))
             yield pa.RecordBatch.from_arrays(
@@ -214,8 +240,14 @@ def _compared(part: list[tuple], own: Sampler, kind: pa.DataType) -> pa.RecordBa
         if row[2] == 0 and row[3] == after[3]
     ]
     raw = [edited(texts[i], texts[i + 1]).encode() for i in full]
-    plain = own.signatures([t.encode() for t in texts])
-    other = own.signatures(raw)
+    # A text and its edited form side by side, as they share most of their terms.
+    changed = dict(zip(full, raw))
+    both, places = [], []
+    for i, text in enumerate(texts):
+        places.append(len(both))
+        both += [text.encode(), changed[i]] if i in changed else [text.encode()]
+    signed = own.signatures(both)
+    plain, other = signed[places], signed[[places[i] + 1 for i in full]]
     mine, following = plain[full], plain[[i + 1 for i in full]]
     return pa.RecordBatch.from_arrays(
         [
@@ -237,7 +269,6 @@ def with_neighbours(
     text: str = "text",
     blocks: int | None = None,
     samples: int = SAMPLES,
-    terms: int = TERMS,
     seed: int = SEED,
 ) -> DataFrame:
     """Fingerprints of each text, of its edited text, and how alike they are.
@@ -258,14 +289,14 @@ def with_neighbours(
     ordered = (
         _in_blocks(rows, blocks)
         .select("doc_id", "text", F.posexplode("targets").alias("copy", "block"))
-        .repartition(blocks, "block")
+        .repartitionById(blocks, F.col("block"))
         .sortWithinPartitions(
             "block", "copy", F.desc_nulls_last("doc_id"), F.xxhash64("text"), "text"
         )
     )
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = sampler(samples, terms, seed)
+        own = sampler(samples, seed)
         held: tuple | None = None
         for batch in batches:
             sizes = pc.binary_length(batch.column("text")).to_pylist()

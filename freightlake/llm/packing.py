@@ -157,7 +157,10 @@ def pack(
     many sequences the partition needed and how many it needs at least.
 
     Pieces as long as a sequence fill one each and take no part. The others meet
-    by a hash of their key, ``per_partition`` of them at a time in the mean.
+    by a hash of their key, ``per_partition`` of them at a time in the mean. A
+    partition whose number of sequences equals its bound is certified: it is final
+    but for one sequence that is at most half full. Others hand the pieces of all
+    sequences with room on, to be packed anew with those of other partitions.
     Every round is written to the shared folder, so a lost executor costs a
     round. The last round ends with what is in it; none is left out.
     """
@@ -176,7 +179,12 @@ def pack(
         bins, offsets = best_fit_decreasing(lengths, capacity)
         fill = np.bincount(bins, lengths)
         bound = lower_bound(lengths, capacity)
-        is_open = (capacity - fill >= gap)[bins]
+        open_bins = capacity - fill >= gap
+        if len(fill) == bound:
+            # Nothing in here can be packed better, but a sequence that is at most
+            # half full may still meet another partition's.
+            open_bins &= (np.arange(len(fill)) == fill.argmin()) & (2 * fill <= capacity)
+        is_open = open_bins[bins]
         return part.assign(
             bin=bins,
             offset=offsets,

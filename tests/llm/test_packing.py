@@ -92,3 +92,31 @@ def test_ties_repeats_nulls_and_nothing(make):
     assert packing.pack(frame.limit(0), capacity=40).collect() == []
     none = make([], "doc_id long, text string")
     assert packing.tokenized_pieces(none).collect() == []
+
+
+def test_certified_partitions_run_once(make, monkeypatch):
+    stored = []
+    plain = packing.common.stored_once
+
+    def recorded(frame, name):
+        stored.append(name)
+        return plain(frame, name)
+
+    monkeypatch.setattr(packing.common, "stored_once", recorded)
+    rows = [(i, 0, 2049) for i in range(40)]
+    got = packing.pack(make(rows, "doc_id long, piece int, length long"), per_partition=10).collect()
+    assert check_layout(got, 4096) == 40
+    assert all(r.partition_sequences == r.partition_bound for r in got)
+    assert stored == ["pieces", "packed-0"]
+
+
+def test_exchange_comes_close_to_one_partition(make):
+    draws = np.random.default_rng(11)
+    rows = [(i, 0, int(n)) for i, n in enumerate(np.minimum(draws.lognormal(5.5, 1.2, 3000) + 1, 4096))]
+    frame = make(rows, "doc_id long, piece int, length long")
+    lengths = np.array([n for *_, n in rows])
+    bound = packing.lower_bound(lengths, 4096)
+    one, many = (
+        check_layout(packing.pack(frame, per_partition=n).collect(), 4096) for n in (10_000, 300)
+    )
+    assert one <= bound + 1 and many <= 1.005 * bound + 2
