@@ -48,12 +48,39 @@ TEMPLATES = {
         "the terms of the GNU General Public License as published by the Free Software "
         "Foundation, either version 3 of the License, or (at your option) any later version",
     ],
-    "GPL-2.0": ["This work is licensed under the GNU General Public License, version 2"],
-    "LGPL-3.0": ["licensed under the GNU Lesser General Public License, version 3"],
+    "GPL-2.0": [
+        "This work is licensed under the GNU General Public License, version 2",
+        "This program is free software; you can redistribute it and/or modify it under "
+        "the terms of the GNU General Public License as published by the Free Software "
+        "Foundation; either version 2 of the License, or (at your option) any later version",
+    ],
+    "LGPL-3.0": [
+        "licensed under the GNU Lesser General Public License, version 3",
+        "This library is free software: you can redistribute it and/or modify it under "
+        "the terms of the GNU Lesser General Public License as published by the Free Software "
+        "Foundation, either version 3 of the License, or (at your option) any later version",
+    ],
+    "LGPL-2.1": [
+        "licensed under the GNU Lesser General Public License, version 2.1",
+        "This library is free software; you can redistribute it and/or modify it under "
+        "the terms of the GNU Lesser General Public License as published by the Free Software "
+        "Foundation; either version 2.1 of the License, or (at your option) any later version",
+    ],
+    "AGPL-3.0": [
+        "This program is free software: you can redistribute it and/or modify it under "
+        "the terms of the GNU Affero General Public License as published by the Free Software "
+        "Foundation, either version 3 of the License, or (at your option) any later version",
+    ],
     "BSD": [
         "Redistribution and use in source and binary forms, with or without modification, "
         "are permitted provided that the following conditions are met",
+    ],
+    "BSD-2-Clause": ["Released under the BSD 2-Clause License"],
+    "BSD-3-Clause": [
         "Released under the BSD 3-Clause License",
+        "Neither the name of the copyright holder nor the names of its contributors may be "
+        "used to endorse or promote products derived from this software without specific "
+        "prior written permission",
     ],
     "ISC": [
         "Permission to use, copy, modify, and/or distribute this software for any purpose "
@@ -176,18 +203,49 @@ class Template:
             self.marks.add(word)
             left -= own[word]
         self.places = [(w, j) for j, w in enumerate(self.words) if w in self.marks]
-        # Words that a statement may have besides the template's, on either side.
-        self.slack = len(self.words) // 4 + 1
+        # Places one of which must be met: numbers of versions, each for itself, and
+        # words that tell this template from one of another license.
+        self.required = [{j} for j, w in enumerate(self.words) if w.isdigit()]
+
+    def tell_from(self, other: Template) -> None:
+        """Ask for one of the words that a text of the other template does not have."""
+        pairs = align(other.words, self.words)
+        if len(pairs) >= self.least:
+            lacking = set(range(len(self.words))) - {j for _, j in pairs}
+            if lacking:
+                self.required.append(lacking)
 
     def best(self, words: list[str], low: int, high: int, density: float) -> tuple | None:
-        """First and last place and number of words of a statement between two places."""
+        """First and last place and number of words of a statement between two places.
+
+        Words far off at either end are given up until the stretch is dense enough.
+        """
         pairs = align(words[low:high], self.words)
+        while len(pairs) >= self.least:
+            first, last = pairs[0][0], pairs[-1][0]
+            if len(pairs) >= density * (last - first + 1):
+                break
+            early = pairs[1][0] - first >= last - pairs[-2][0]
+            pairs = pairs[1:] if early else pairs[:-1]
         if len(pairs) < self.least:
             return None
-        first, last = low + pairs[0][0], low + pairs[-1][0]
-        if len(pairs) < density * (last - first + 1):
+        met = {j for _, j in pairs}
+        if not all(met & places for places in self.required):
             return None
-        return first, last, len(pairs)
+        return low + first, low + last, len(pairs)
+
+    def around(self, words: list[str], start: int, low: int, density: float) -> tuple | None:
+        """The statement with most words of those in narrow and wide windows."""
+        most = None
+        size = len(self.words)
+        widest = math.ceil(size / density) - size
+        for slack in sorted({0, min(size // 4 + 1, widest), widest}):
+            got = self.best(words, max(low, start - slack, 0), start + size + slack, density)
+            if got and (most is None or got[2] > most[2]):
+                most = got
+            if most and most[2] == size:
+                break
+        return most
 
 
 @lru_cache(maxsize=4)
@@ -196,7 +254,12 @@ def templates_of(listed: tuple, coverage: float) -> list[Template]:
     # Function words and very short ones are no marks while there are others.
     common_in.update(dict.fromkeys(("the", "and", "all", "this", "any"), 1000))
     common_in.update({w: 500 for w in common_in if len(w) < 3})
-    return [Template(name, text, coverage, common_in) for name, text in listed]
+    templates = [Template(name, text, coverage, common_in) for name, text in listed]
+    for own in templates:
+        for other in templates:
+            if own.license != other.license:
+                own.tell_from(other)
+    return templates
 
 
 def find(text: str, templates: list[Template], density: float = DENSITY) -> list[tuple]:
@@ -222,16 +285,12 @@ def find(text: str, templates: list[Template], density: float = DENSITY) -> list
             if at <= done:
                 continue
             # Where the template would lie with this word in its place.
-            start = at - j
-            for slack in (0, t.slack):
-                low = max(done + 1, start - slack, 0)
-                got = t.best(words, low, start + len(t.words) + slack, density)
-                if got:
-                    first, last, count = got
-                    done = last
-                    share = count / len(t.words)
-                    found.append((-share, -count, t.license, first, last, len(t.words)))
-                    break
+            got = t.around(words, at - j, done + 1, density)
+            if got:
+                first, last, count = got
+                done = last
+                share = count / len(t.words)
+                found.append((-share, -count, t.license, first, last, len(t.words)))
     chosen: list[tuple] = []
     taken: list[tuple[int, int]] = []
     for share, count, name, low, high, size in sorted(found):

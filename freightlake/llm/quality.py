@@ -27,6 +27,7 @@ from freightlake.llm import common
 # Bounds of the sample that the model is fitted to.
 SAMPLE = 4_000
 SAMPLE_CHARACTERS = 100_000
+SAMPLE_LINES = 2_000
 SEED_STEPS, CHAIN_STEPS = 150, 150
 
 # Bytes of text that a worker takes at a time.
@@ -262,7 +263,7 @@ def training_rows(
     """``text, quality`` of a bounded sample: ``sample`` ids, in order of a hash.
 
     Ids whose labels disagree, rows held out and texts of more than
-    ``characters`` characters don't take part.
+    ``characters`` characters or ``SAMPLE_LINES`` lines don't take part.
     """
     chosen = (
         labels.where("doc_id IS NOT NULL AND quality IN (0, 1)")
@@ -273,7 +274,9 @@ def training_rows(
         .limit(sample)
     )
     rows = documents.join(F.broadcast(chosen.select("doc_id", "quality")), "doc_id")
-    return rows.where(F.length("text") <= characters).select("text", "quality")
+    breaks = F.length("text") - F.length(F.translate("text", "\n", ""))
+    fit = (F.length("text") <= characters) & (breaks < SAMPLE_LINES)
+    return rows.where(fit).select("text", "quality")
 
 
 def held_out(doc_id: Column) -> Column:

@@ -69,9 +69,12 @@ class Encoder:
         self.tokenizer = load_tokenizer(path)
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
-        suffix = json.loads(self.tokenizer.to_str())["model"]["end_of_word_suffix"]
+        described = json.loads(self.tokenizer.to_str())
+        suffix = described["model"].get("end_of_word_suffix")
         ending = [i for w, i in vocabulary.items() if suffix and w.endswith(suffix)]
         self.ends[ending] = True
+        # Whether capitals are the same to this tokenizer, as it says itself.
+        self.lowers = "Lowercase" in json.dumps(described.get("normalizer"))
         self.letters = _LETTERS if ending else re.compile(r"(?!)")
 
     def _plain(self, words: list[str]) -> list[bytes]:
@@ -97,7 +100,7 @@ class Encoder:
         for word in words:
             head = word.rstrip(_MARKS)
             if self.letters.fullmatch(head):
-                heads.append(head.lower())
+                heads.append(head.lower() if self.lowers else head)
                 tails.append(word[len(head) :])
             else:
                 heads.append(word)

@@ -1,6 +1,7 @@
 """Alignment against the longest common subsequence, statements in noisy texts."""
 
 import random
+import re
 from functools import lru_cache
 
 from hypothesis import given, settings
@@ -97,3 +98,42 @@ def test_frames(make, spark, sf_dir):
     found = {r.doc_id for r in licenses.scan(spark.read.parquet(f"{sf_dir}/documents.parquet")).collect()}
     lines = ("Released under the MIT License", "Licensed under the Apache License, Version 2.0")
     assert found >= {d.doc_id for d in documents if any(x in (d.text or "") for x in lines)}
+
+
+def test_each_notice_against_its_neighbours():
+    texts = {name: licenses.TEMPLATES[name][-1] for name in ("GPL-3.0", "GPL-2.0", "LGPL-3.0", "LGPL-2.1", "AGPL-3.0")}
+    for name, text in texts.items():
+        found = licenses.find(f"{noise(20)} {text}. {noise(20)}", ALL)
+        assert [f[0] for f in found] == [name], found
+        # Without its version a notice is none of them.
+        bare = re.sub(r"version [0-9.]+", "version", text)
+        assert licenses.find(bare, ALL) == []
+    for clause in "23":
+        found = licenses.find(f"Released under the BSD {clause}-Clause License", ALL)
+        assert [f[0] for f in found] == [f"BSD-{clause}-Clause"]
+    assert licenses.find("Released under the BSD 4-Clause License", ALL) == []
+
+
+def test_inserted_words_do_not_lower_coverage():
+    words = licenses.TEMPLATES["MIT"][1].split()
+    for count in (5, 12, 20, 30):
+        for seed in range(6):
+            draws = random.Random(seed)
+            other = list(words)
+            place = draws.randrange(1, len(words))
+            if seed % 2:
+                other[place:place] = [f"zz{i}" for i in range(count)]
+            else:
+                for i in range(count):
+                    other.insert(draws.randrange(1, len(other)), f"zz{i}")
+            text = " ".join(other)
+            whole = f"{noise(25)} {text} {noise(25)}"
+            found = licenses.find(whole, ALL)
+            assert [(f[0], f[5]) for f in found] == [("MIT", 1.0)], (count, seed, found)
+            assert whole[found[0][1] : found[0][2]] == text
+
+
+def test_too_many_words_between_are_no_statement():
+    words = licenses.TEMPLATES["MIT"][1].split()
+    thin = " ".join(f"{w} x{i} y{i}" for i, w in enumerate(words))
+    assert licenses.find(thin, ALL) == []
