@@ -13,6 +13,7 @@ from freightlake.operators.checks import ModelInputError, require_none
 from freightlake.operators.expand import CHUNK, lay_out
 from freightlake.operators.pick import weighted_pick
 from freightlake.operators.sizing import MAX_BROADCAST_ROWS
+from freightlake.operators.truckloads import Watcher
 
 # Weeks in a year, days in a week, and the default day.
 WEEKS = 52
@@ -162,8 +163,12 @@ def temporal_allocation(
     strict: bool = False,
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
     route: str = "stretches",
+    watch: Watcher | None = None,
 ) -> DataFrame:
-    """Draw a start hour by the shares of the vehicle type; add the labels."""
+    """Draw a start hour by the shares of the vehicle type; add the labels.
+
+    ``watch`` is handed trips whose vehicle type has no distribution, to be counted.
+    """
     if strict:
         require_none(
             temporal_gaps(trips, distributions), "no hourly distribution for"
@@ -176,7 +181,11 @@ def temporal_allocation(
         "share",
         keyed_uniform(*keys, stage="hour", seed=seed),
         "start_hour",
+        count_name="_hours" if watch else None,
         max_broadcast_rows=max_broadcast_rows,
         route=route,
     )
+    if watch:
+        lacking = F.col("_hours").isNull()
+        drawn = watch(drawn, "hours", {"no hourly distribution": lacking}).drop("_hours")
     return period_matrix_labels(drawn)

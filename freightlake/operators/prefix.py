@@ -4,7 +4,8 @@ A window without a partition sorts the table in one task. Here the ordering
 ids are cut into blocks of 4,096 consecutive values, 65,536 of those make a
 larger block, and so on. Totals go up that ladder by ordinary aggregation,
 offsets come down it by equi-joins, and every window sees one block only,
-whatever the ids look like. Only as many steps are taken as the range of the ids
+whatever the ids look like. The rows are worked out once and written, and read from
+there for sums and for the result. Only as many steps are taken as the range of the ids
 calls for; three leave a million blocks at most, even where ids are scattered
 over all of 64 bits.
 """
@@ -14,10 +15,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from freightlake.operators.checks import ModelInputError
+from freightlake.sources.tables import stored_once
 
 # Low bits of the id that are inside a block, at each step of the ladder.
 BLOCK_BITS = (12, 28, 44)
@@ -27,13 +29,8 @@ TOP_BLOCKS = 65_536
 _INTEGRAL = {"tinyint", "smallint", "int", "bigint"}
 
 
-def _steps(df: DataFrame, order: str, block_bits: Sequence[int]) -> list[int]:
-    """The steps needed for the range of the ids, from one look at its ends."""
-    wide = "decimal(20,0)"
-    lowest, highest = df.agg(
-        F.min(order).cast(wide).alias("low"), F.max(order).cast(wide).alias("high")
-    ).first()
-    span = 0 if lowest is None else int(highest - lowest)
+def _steps(span: int, block_bits: Sequence[int]) -> list[int]:
+    """The steps needed for ids that are ``span`` apart at most."""
     return [
         bits
         for less, bits in zip([None, *block_bits], block_bits)
@@ -41,6 +38,22 @@ def _steps(df: DataFrame, order: str, block_bits: Sequence[int]) -> list[int]:
     ]
 
 
+def _written(df: DataFrame, order: str) -> tuple[DataFrame, int]:
+    """The rows, worked out and written once, and how far apart their ids are.
+
+    Sums, offsets and rows are read from what was written; the ends of the ids are
+    seen on the way.
+    """
+    wide = "decimal(20,0)"
+    ends = Observation()
+    watched = df.observe(
+        ends, F.min(order).cast(wide).alias("low"), F.max(order).cast(wide).alias("high")
+    )
+    stored = stored_once(watched, "ordered")
+    low, high = ends.get["low"], ends.get["high"]
+    return stored, 0 if low is None else int(high - low)
+
+
 def without_id(df: DataFrame, order: str) -> DataFrame:
     """Rows that running totals leave out for want of an id."""
     return df.filter(F.col(order).isNull())
@@ -78,7 +91,8 @@ def running_totals(
     def block(level: int) -> str:
         return f"_block{level}"
 
-    steps = _steps(df, order, block_bits)
+    df, span = _written(df, order)
+    steps = _steps(span, block_bits)
     widths = [bits - less for less, bits in zip([0, *steps], steps)]
     levels = len(widths)
 

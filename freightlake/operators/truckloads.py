@@ -11,7 +11,7 @@ all in generated code, and little enough of it for the JVM to compile.
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -78,6 +78,10 @@ class TruckFactors:
         return sorted(set(self.crossing_map.values()))
 
 
+# Takes rows, a stage and conditions by reason; gives the same rows back.
+Watcher = Callable[[DataFrame, str, dict[str, Column]], DataFrame]
+
+
 def truck_mode_filter(flows: DataFrame) -> DataFrame:
     """Flows by truck, whether the mode is a name or a code."""
     if flows.schema["dms_mode"].dataType.simpleString() == "string":
@@ -287,13 +291,20 @@ def match_factors(
     return _numbered_bands(flows, edges, "wgt_dist", "left").join(combined, ["_band", "sctg2"], how)
 
 
+REASONS = ("no tons", "no distance", "distance outside all bands", "no factors for commodity")
+
+
 def _reject_reason() -> Column:
-    return (
-        F.when(F.col("exp_tons").isNull(), "no tons")
-        .when(F.col("wgt_dist").isNull(), "no distance")
-        .when(F.col("_band") < 0, "distance outside all bands")
-        .when(F.col("_rate").isNull(), "no factors for commodity")
+    tests = (
+        F.col("exp_tons").isNull(),
+        F.col("wgt_dist").isNull(),
+        F.col("_band") < 0,
+        F.col("_rate").isNull(),
     )
+    found = F.when(F.lit(False), F.lit(None).cast("string"))
+    for test, reason in zip(tests, REASONS):
+        found = found.when(test, reason)
+    return found
 
 
 def _total(columns: list[Column]) -> Column:
@@ -305,7 +316,10 @@ def _whole(column: Column) -> Column:
 
 
 def sized_flows(
-    flows: DataFrame, factors: TruckFactors, load_consolidation_factor: float = 1.0
+    flows: DataFrame,
+    factors: TruckFactors,
+    load_consolidation_factor: float = 1.0,
+    watch: Watcher | None = None,
 ) -> DataFrame:
     """Truck flows with their rates, the number of trucks ``zed`` before any
     rounding, and which of the two rules for small flows applies:
@@ -315,8 +329,16 @@ def sized_flows(
     * ``_rescued``: every vehicle type rounds to none, but there is more than
       one truck in all, which becomes one of the rescue vehicle.
     """
-    weighed = truck_mode_filter(flows).filter(F.col("exp_tons").isNotNull())
-    matched = match_factors(weighed, factors, how="inner")
+    by_truck = truck_mode_filter(flows)
+    if watch is None:
+        weighed = by_truck.filter(F.col("exp_tons").isNotNull())
+        matched = match_factors(weighed, factors, how="inner")
+    else:
+        # Flows that go no further are counted on the way.
+        reason = _reject_reason()
+        every = match_factors(by_truck, factors).withColumn("_reason", reason)
+        told = watch(every, "truckloads", {r: F.col("_reason") == r for r in REASONS})
+        matched = told.filter(F.col("_reason").isNull()).drop("_reason")
     # Never NULL here, but only a default tells Spark so, and spares the null
     # checks of all that follows.
     tons = F.coalesce(
@@ -352,12 +374,15 @@ def sized_flows(
 
 
 def trucks_by_vehicle(
-    flows: DataFrame, factors: TruckFactors, load_consolidation_factor: float = 1.0
+    flows: DataFrame,
+    factors: TruckFactors,
+    load_consolidation_factor: float = 1.0,
+    watch: Watcher | None = None,
 ) -> DataFrame:
     """One row per flow and vehicle type with plainly rounded loaded trucks
     (``_plain``), loaded trucks after the rules (``_loaded``), all loaded trucks
     of the flow (``_all_loaded``) and empty trucks (``_empty``)."""
-    sized = sized_flows(flows, factors, load_consolidation_factor)
+    sized = sized_flows(flows, factors, load_consolidation_factor, watch)
     laid_out = sized.select(
         *flows.columns,
         "zed",
@@ -394,15 +419,19 @@ def trucks_by_vehicle(
 
 
 def annual_truckloads(
-    flows: DataFrame, factors: TruckFactors, load_consolidation_factor: float = 1.0
+    flows: DataFrame,
+    factors: TruckFactors,
+    load_consolidation_factor: float = 1.0,
+    watch: Watcher | None = None,
 ) -> DataFrame:
     """One row per flow, vehicle type and status with the trucks of a year.
 
     Tons and value of a flow are split over its loaded trucks; empty ones
     carry none. ``zed`` is the number of trucks before any rounding. Flows for
-    which no count can be made are in ``rejected_flows``.
+    which no count can be made are in ``rejected_flows``; ``watch`` is handed them
+    by reason to be counted in the same run.
     """
-    by_vehicle = trucks_by_vehicle(flows, factors, load_consolidation_factor)
+    by_vehicle = trucks_by_vehicle(flows, factors, load_consolidation_factor, watch)
     kept = [c for c in flows.columns if c not in ("exp_tons", "exp_value")]
     share = F.try_divide("_loaded", "_all_loaded")
     none = F.lit(0.0)

@@ -24,7 +24,7 @@ from freightlake.operators.truckloads import (
     annual_truckloads,
     rejected_flows,
 )
-from freightlake.plans.rejects import counted, together
+from freightlake.plans.rejects import Watch, counted, together
 from freightlake.sources import stored_once
 
 
@@ -38,16 +38,27 @@ def daily_trucks(
     target_day: int = TARGET_DAY,
     seed: int = 0,
     load_consolidation_factor: float = 1.0,
+    calendar: DataFrame | None = None,
+    day_method: str = "trucks",
+    watch: Watch | None = None,
 ) -> DataFrame:
-    """Flow database to the trucks of one day; ``flow_id`` names a flow."""
+    """Flow database to the trucks of one day; ``flow_id`` names a flow.
+
+    ``calendar`` and ``day_method`` are those of ``sample_daily_trucks``; ``watch``
+    counts flows that make no trucks.
+    """
     study = prepare_flows(
         flows,
         target_year,
         internal_regions=internal_regions,
         outer_regions=outer_regions,
     )
-    annual = annual_truckloads(study, factors, load_consolidation_factor)
-    return sample_daily_trucks(annual, target_week, target_day, seed=seed)
+    annual = annual_truckloads(
+        study, factors, load_consolidation_factor, watch.rows if watch else None
+    )
+    return sample_daily_trucks(
+        annual, target_week, target_day, calendar=calendar, seed=seed, method=day_method
+    )
 
 
 def trip_matrices(
@@ -65,12 +76,18 @@ def trip_matrices(
     seed: int = 0,
     strict: bool = False,
     load_consolidation_factor: float = 1.0,
+    target_week: int = TARGET_WEEK,
+    target_day: int = TARGET_DAY,
+    calendar: DataFrame | None = None,
+    day_method: str = "trucks",
+    watch: Watch | None = None,
 ) -> DataFrame:
     """Flow database to matrices of one day's trucks by zone pair.
 
     Attractions are added up over all firms and then used for both ends, so
     they are stored once in the shared folder. With ``strict`` trucks without a
-    zone or an hour raise; otherwise ``rejects`` counts them.
+    zone or an hour raise; otherwise ``rejects`` counts them, and so does ``watch``
+    in the run that works the matrices out.
     """
     trucks = daily_trucks(
         flows,
@@ -78,8 +95,13 @@ def trip_matrices(
         factors,
         internal_regions,
         outer_regions,
-        seed=seed,
-        load_consolidation_factor=load_consolidation_factor,
+        target_week,
+        target_day,
+        seed,
+        load_consolidation_factor,
+        calendar,
+        day_method,
+        watch,
     )
     ended = sample_tripends(
         trucks,
@@ -92,8 +114,16 @@ def trip_matrices(
         seed=seed,
         strict=strict,
     )
+    if watch:
+        lacking = F.col("ozone").isNull() | F.col("dzone").isNull()
+        ended = watch.rows(ended, "trip ends", {"no zone in region": lacking})
     timed = temporal_allocation(
-        ended, distributions, keys=TRUCK_KEYS, seed=seed, strict=strict
+        ended,
+        distributions,
+        keys=TRUCK_KEYS,
+        seed=seed,
+        strict=strict,
+        watch=watch.rows if watch else None,
     )
     return od_matrices(timed, "ozone", "dzone")
 
@@ -110,18 +140,30 @@ def allocated_matrices(
     seed: int = 0,
     strict: bool = False,
     load_consolidation_factor: float = 1.0,
+    target_week: int = TARGET_WEEK,
+    target_day: int = TARGET_DAY,
+    calendar: DataFrame | None = None,
+    day_method: str = "trucks",
+    watch: Watch | None = None,
 ) -> DataFrame:
     """The other route: ends ``inside`` are drawn from all zones, others coded.
 
-    ``zonal_attractions`` is wide, a column for each vehicle type.
+    ``zonal_attractions`` is wide, a column for each vehicle type. ``watch`` counts
+    what this route leaves out.
     """
     trucks = daily_trucks(
         flows,
         target_year,
         factors,
-        outer_regions=outer_regions,
-        seed=seed,
-        load_consolidation_factor=load_consolidation_factor,
+        None,
+        outer_regions,
+        target_week,
+        target_day,
+        seed,
+        load_consolidation_factor,
+        calendar,
+        day_method,
+        watch,
     )
     placed = allocate_internal_ends(
         trucks,
@@ -132,8 +174,16 @@ def allocated_matrices(
         seed=seed,
         strict=strict,
     )
+    if watch:
+        lacking = F.col("origin").isNull() | F.col("destination").isNull()
+        placed = watch.rows(placed, "allocation", {"no zone for region": lacking})
     timed = temporal_allocation(
-        placed, distributions, keys=TRUCK_KEYS, seed=seed, strict=strict
+        placed,
+        distributions,
+        keys=TRUCK_KEYS,
+        seed=seed,
+        strict=strict,
+        watch=watch.rows if watch else None,
     )
     return od_matrices(timed)
 

@@ -74,7 +74,7 @@ def test_no_window_sees_the_whole_table(spark):
 
 
 def test_steps_follow_the_range_of_the_ids(spark):
-    from freightlake.operators.prefix import BLOCK_BITS, _steps
+    from freightlake.operators.prefix import BLOCK_BITS, _steps, _written
 
     for ids, steps in [
         ([], 1),
@@ -84,7 +84,8 @@ def test_steps_follow_the_range_of_the_ids(spark):
         ([-(2**63), 2**63 - 1], 3),
     ]:
         frame = spark.createDataFrame([(i,) for i in ids], "id bigint")
-        assert len(_steps(frame, "id", BLOCK_BITS)) == steps
+        _, span = _written(frame, "id")
+        assert len(_steps(span, BLOCK_BITS)) == steps
 
 
 def test_ids_must_be_whole_numbers(spark):

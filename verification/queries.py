@@ -13,10 +13,12 @@ from freightlake.operators import allocation, binomial, daily, flows, generation
 from freightlake.operators import local, matrices, profile, tripends, truckloads
 from freightlake.operators.prefix import bucket_round
 from freightlake.plans import local_trips, long_distance
+from freightlake.plans.rejects import Watch
 from freightlake.sources import (
     file_attributes,
     read_table,
     shared_folder,
+    stored_once,
     write_table,
 )
 from verification import inputs as given
@@ -1072,6 +1074,69 @@ def _(spark, d):
     )
 
 
+_UNUSED_FLOWS = """
+    SELECT 'truckloads' AS stage, reason, count(*) AS rows FROM (SELECT CASE
+        WHEN exp_tons IS NULL THEN 'no tons' WHEN wgt_dist IS NULL THEN 'no distance'
+        WHEN minimum_range IS NULL THEN 'distance outside all bands'
+        ELSE 'no factors for commodity' END AS reason
+      FROM banded WHERE flow_id NOT IN (SELECT flow_id FROM cells)) GROUP BY reason
+"""
+_UNTIMED = f"""
+    SELECT 'hours', 'no hourly distribution', count(*)
+      FROM ({_DAILY_ANNUAL}) WHERE vehicle_type = 'TPT'
+"""
+
+
+def _watched(spark: SparkSession, matrices, *tables, **options) -> DataFrame:
+    """What one run of a plan left out, counted while its matrices were written."""
+    watch = Watch()
+    stored_once(matrices(*tables, **options, watch=watch), "matrices")
+    return watch.frame(spark, optional=("truckloads",))
+
+
+@query(
+    "long_distance_watched",
+    f"""
+    {_UNUSED_FLOWS} UNION ALL SELECT 'trip ends', 'no zone in region', count(*)
+      FROM ({_DAILY_ANNUAL}) WHERE dms_dest = 125 UNION ALL {_UNTIMED}
+    """,
+)
+def _(spark, d):
+    return _watched(
+        spark,
+        long_distance.trip_matrices,
+        given.raw_flows(spark, d),
+        given.TARGET_YEAR,
+        given.factors(spark),
+        given.attractions_long(spark, d),
+        given.zones(spark, d),
+        given.temporal_shares(spark).filter("vehicle_type <> 'TPT'"),
+        included_attractions=COMBINATION,
+        makeuse_coefficients=given.make_use(spark, d),
+    )
+
+
+@query(
+    "allocated_watched",
+    f"""
+    {_UNUSED_FLOWS} UNION ALL SELECT 'allocation', 'no zone for region', count(*)
+      FROM {_DAILY_PLACED} WHERE origin IS NULL OR destination IS NULL UNION ALL {_UNTIMED}
+    """,
+)
+def _(spark, d):
+    return _watched(
+        spark,
+        long_distance.allocated_matrices,
+        given.raw_flows(spark, d),
+        given.TARGET_YEAR,
+        given.factors(spark),
+        given.attractions_wide(spark, d),
+        given.single_zones(spark, d),
+        given.temporal_shares(spark).filter("vehicle_type <> 'TPT'"),
+        given.INTERNAL_REGIONS,
+    )
+
+
 @query(
     "local_rejects",
     f"""
