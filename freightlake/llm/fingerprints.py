@@ -40,6 +40,7 @@ SEED = 20_240_607
 CACHE_WORDS = 300_000
 CHUNK_WORDS = 40_000
 PART_TERMS = 1 << 15
+CACHED = 1 << 15
 CHUNK_CHARACTERS = 4_000_000
 
 _FIRST, _LAST = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -55,13 +56,13 @@ def _mixed(values: np.ndarray) -> np.ndarray:
     return values
 
 
-def _uniform(values: np.ndarray, piece: int) -> np.ndarray:
+def _uniform(values: np.ndarray, piece: int, out: np.ndarray) -> None:
     """One of three pieces of 21 bits as a number between 0 and 1."""
-    bits = (values >> np.uint64(21 * piece)) & np.uint64((1 << 21) - 1)
-    out = bits.astype(np.float32)
+    bits = (values >> np.uint64(21 * piece) if piece else values).astype(np.uint32)
+    bits &= np.uint32((1 << 21) - 1)
+    out[:] = bits.view(np.int32)
     out += np.float32(0.5)
     out *= np.float32(2.0**-21)
-    return out
 
 
 class Sampler:
@@ -75,19 +76,33 @@ class Sampler:
 
     def draws(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """``r``, ``b`` and, for a weight of one, ``a``: rows are terms."""
+        shape = (len(hashes), self.samples)
+        r, b, a = (np.empty(shape, np.float32) for _ in range(3))
+        # A few terms at a time stay within a processor's cache.
+        step = max(1, CACHED // self.samples)
+        for at in range(0, len(hashes), step):
+            part = slice(at, at + step)
+            self._draw(hashes[part], r[part], b[part], a[part])
+        return r, b, a
+
+    def _draw(self, hashes: np.ndarray, r: np.ndarray, b: np.ndarray, a: np.ndarray) -> None:
         first = _mixed(hashes[:, None] ^ self.flips[None, :])
-        r = _uniform(first, 0)
-        r *= _uniform(first, 1)
+        other = np.empty_like(r)
+        _uniform(first, 0, r)
+        _uniform(first, 1, other)
+        r *= other
         np.negative(np.log(r, out=r), out=r)
-        a = _uniform(first, 2)
+        _uniform(first, 2, a)
         first += np.uint64(0x9E3779B97F4A7C15)
         second = _mixed(first)
-        a *= _uniform(second, 0)
-        b = _uniform(second, 1)
+        _uniform(second, 0, other)
+        _uniform(second, 1, b)
+        a *= other
         # ln(weight) is 0 then, so t is 0 and a is ln(c) - r (1 - b).
         np.log(np.negative(np.log(a, out=a), out=a), out=a)
-        a -= r * (np.float32(1) - b)
-        return r, b, a
+        np.subtract(np.float32(1), b, out=other)
+        other *= r
+        a -= other
 
     def _hashes(self, split: list[list[bytes]]) -> np.ndarray:
         if len(self.words) > CACHE_WORDS:
