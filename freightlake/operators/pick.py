@@ -38,9 +38,9 @@ WEIGHT_TYPE = "decimal(38,18)"
 
 _INTEGRAL = {"tinyint", "smallint", "int", "bigint"}
 
-# Weights as slots need them, to 15 decimals of the largest: multiplied by the slots
+# Weights as slots need them, to 12 decimals of the largest: multiplied by the slots
 # of a group they stay exact, and what equals an even share does so in any engine.
-SLOT_WEIGHT = "decimal(16,15)"
+SLOT_WEIGHT = "decimal(13,12)"
 SLOT_COUNT = "decimal(10,0)"
 
 # Candidates of a group up to which slots are made; a group is sorted in one task.
