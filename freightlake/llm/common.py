@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import re
 from collections.abc import Callable, Iterable, Iterator
@@ -49,6 +50,20 @@ def blank(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.coalesce(F.col(c), F.lit("")) for c in columns})
 
 
+def _give_back() -> None:
+    """Hand memory that a task no longer uses back to the system.
+
+    Workers live on from stage to stage; what Arrow's pool and the C library keep
+    for later would add up beside the JVM's heap.
+    """
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):
+        # Other C libraries have no such call.
+        pass
+
+
 def map_arrow(
     df: DataFrame,
     function: Callable[[Iterator[pa.RecordBatch]], Iterable[pa.RecordBatch]],
@@ -68,7 +83,14 @@ def map_arrow(
     paths = environment.get("PYTHONPATH", "")
     if ROOT not in re.split(os.pathsep, paths):
         environment["PYTHONPATH"] = os.pathsep.join(p for p in (ROOT, paths) if p)
-    return df.mapInArrow(function, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from function(batches)
+        finally:
+            _give_back()
+
+    return df.mapInArrow(run, schema)
 
 
 class WordHashes(dict):
